@@ -34,7 +34,7 @@ def zone_flags(positions: DataFrame, zones: Sequence[Zone]) -> DataFrame:
 def window_bounds(ts: Column, width: str) -> list[Column]:
     """Start and end of the epoch-aligned window of ``width`` that holds ``ts``."""
     size = micros(width)
-    start = slice_of(ts, size) * F.lit(size)
+    start = slice_of(ts, size)
     return [F.timestamp_micros(start).alias("window_start"), F.timestamp_micros(start + F.lit(size)).alias("window_end")]
 
 
@@ -143,23 +143,31 @@ def avg_step(
         *[F.max(F.when(F.col("is_first"), F.col(c))).alias(f"first_{c}") for c in ("x", "y")],
         *[F.max(F.when(F.col("is_last"), F.col(c))).alias(f"last_{c}") for c in ("x", "y")],
     )
-    return combine_panes(summary, keys, pane, size, slide)
+    return combine_panes(summary, keys, size, slide)
 
 
-def combine_panes(summary: DataFrame, keys: Sequence[str], pane: int, size: str, slide: str) -> DataFrame:
+def combine_panes(summary: DataFrame, keys: Sequence[str], size: str, slide: str) -> DataFrame:
     """Windows from pane summaries: steps inside panes plus steps from pane to pane."""
-    span = F.window(F.timestamp_micros(F.col("_slice") * F.lit(pane)), f"{micros(size)} microseconds", f"{micros(slide)} microseconds")
-    panes = summary.withColumn("span", span).select(
-        "*", F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end")
-    )
-    window = across_pieces([*keys, "window_start"])
+    pane, length, step = F.col("_slice"), F.lit(micros(size)), F.lit(micros(slide))
+    earliest = pane - length - F.pmod(pane - length, step) + step
+    latest = pane - F.pmod(pane, step)
+    # NULL, hence no row, for a pane in the gap between windows that slide further than they are long
+    starts = F.when(earliest <= latest, F.sequence(earliest, latest, step))
+    panes = summary.withColumn("start", F.explode(starts))
+    window = across_pieces([*keys, "start"])
     bridge = distance(
         F.lag("last_x").over(window), F.lag("last_y").over(window), F.col("first_x"), F.col("first_y")
     )
     return (
         panes.withColumn("bridge", bridge)
-        .groupBy(*keys, "window_start", "window_end")
+        .groupBy(*keys, "start")
         .agg(((F.sum("inner") + F.sum("bridge")) / F.sum("n")).alias("avg_step"))
+        .select(
+            *keys,
+            F.timestamp_micros("start").alias("window_start"),
+            F.timestamp_micros(F.col("start") + length).alias("window_end"),
+            "avg_step",
+        )
     )
 
 
@@ -179,9 +187,11 @@ def running_best(windows: DataFrame, emit_from: Column | None = None, block: str
         F.max("top").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)).alias("earlier"),
     )
     so_far = F.max("rank").over(W.partitionBy("_block").orderBy("window_end").rowsBetween(W.unboundedPreceding, 0))
+    # null-safe, because a plain equality lets Catalyst add a filter to each side, and the two
+    # uses of ``windows`` would then no longer share their shuffles
     best = (
         ranked.withColumn("so_far", so_far)
-        .join(earlier, F.col("_block") == F.col("_b"))
+        .join(earlier, F.col("_block").eqNullSafe(F.col("_b")))
         .withColumn("best", F.greatest("so_far", "earlier"))
     )
     if emit_from is not None:

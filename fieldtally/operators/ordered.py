@@ -36,8 +36,12 @@ def micros(interval: str) -> int:
 
 
 def slice_of(ts: Column, width: int) -> Column:
-    """Number of the slice of ``width`` microseconds, counted from the epoch."""
-    return F.floor(F.unix_micros(ts) / F.lit(width))
+    """Start of the epoch-aligned slice of ``width`` microseconds, in microseconds.
+
+    Whole-number arithmetic: exact at any distance from the epoch, on both sides of it.
+    """
+    instant = F.unix_micros(ts)
+    return instant - F.pmod(instant, F.lit(width).cast("long"))
 
 
 def cut(
