@@ -18,7 +18,7 @@ from fieldtally.workspace import new_run_dir
 
 # The end marker's event time, as a timestamp and in picoseconds.
 END_OF_INPUT = "9999-01-01 00:00:00"
-END_OF_INPUT_PS = 253_370_764_800 * 10**12
+END_OF_INPUT_PS = "253370764800000000000000"
 
 
 def _marker(spark: SparkSession, schema, present: bool) -> DataFrame:

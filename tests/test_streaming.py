@@ -1,0 +1,114 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from fieldtally.functions import BALL_SENSORS, PENALTY_AREAS, PLAYER_SENSOR
+from fieldtally.operators import motion
+from fieldtally.sinks import write_stream
+from fieldtally.sources import read_positions, stream_positions
+from fieldtally.streaming import best_so_far, finish_positions, finish_stream, stream_avg_step, stream_zone_exits
+from fixtures import STEP_EVENTS, STEP_WINDOWS, ZONE_EVENTS, position_line
+
+
+def as_motion(df):
+    return df.select("ts", F.col("ts_ps").alias("seq"), F.col("sensor_id").alias("entity"), "x", "y")
+
+
+def write_files(folder, *files):
+    """One file per list of events, each newer than the one before."""
+    folder.mkdir(exist_ok=True)
+    for n, events in enumerate(files):
+        path = folder / f"{n:03}.csv"
+        path.write_text("\n".join(position_line(e) for e in events) + "\n")
+        os.utime(path, (1_600_000_000 + 10 * n,) * 2)
+
+
+def run(spark, tmp_path, question, finish, schema_of=None):
+    if finish:
+        finish_positions(spark, str(tmp_path / "in"))
+    result = question(as_motion(stream_positions(spark, str(tmp_path / "in"), max_files_per_trigger=1)))
+    out = str(tmp_path / f"out-{finish}")
+    write_stream(result, out, str(tmp_path / f"progress-{finish}")).awaitTermination()
+    return spark.read.schema(result.schema).parquet(out)
+
+
+def exits(scope, rollup=None):
+    return lambda rows: stream_zone_exits(rows, PENALTY_AREAS, rollup=rollup, scope=scope, entities=BALL_SENSORS)
+
+
+@pytest.mark.parametrize("scope", ["interleaved", "per_entity"])
+def test_zone_exits_equal_batch(spark, tmp_path, rows, scope):
+    strangers = [(47, 2500, 20000, 20000), (47, 2600, 0, 0)]
+    write_files(tmp_path / "in", ZONE_EVENTS[:4] + strangers, ZONE_EVENTS[4:])
+    positions = motion.only_entities(as_motion(read_positions(spark, str(tmp_path / "in"))), BALL_SENSORS)
+    batch = motion.zone_exits(positions, PENALTY_AREAS, scope=scope)
+    assert rows(run(spark, tmp_path, exits(scope), finish=True)) == rows(batch)
+
+
+def test_rollup_equals_batch_and_needs_the_marker(spark, tmp_path, rows):
+    write_files(tmp_path / "in", ZONE_EVENTS[:4], ZONE_EVENTS[4:])
+    batch = motion.rollup_exits(motion.zone_exits(as_motion(read_positions(spark, str(tmp_path / "in"))), PENALTY_AREAS))
+    assert rows(run(spark, tmp_path, exits("per_entity", "10 hours"), finish=False)) == []
+    assert rows(run(spark, tmp_path, exits("per_entity", "10 hours"), finish=True)) == rows(batch)
+
+
+def test_without_marker_the_last_window_stays_open(spark, tmp_path, rows):
+    write_files(tmp_path / "in", ZONE_EVENTS[:4], ZONE_EVENTS[4:])
+    assert {row[0] for row in rows(run(spark, tmp_path, exits("interleaved"), finish=False))} == {0}
+
+
+@pytest.mark.parametrize("files", [1, 2])
+def test_avg_step_equals_batch(spark, tmp_path, rows, files):
+    others = [(4, 10_000, 9, 9), (4, 100_000, 0, 9)]
+    events = sorted(STEP_EVENTS + others, key=lambda e: e[1])
+    write_files(tmp_path / "in", *([events] if files == 1 else [events[:3], events[3:]]))
+    positions = as_motion(stream_positions(spark, str(tmp_path / "in"), max_files_per_trigger=1))
+    found = rows(finish_stream(positions, lambda rows: stream_avg_step(rows, entities=[PLAYER_SENSOR])))
+    assert [row[0] for row in found] == [start for start, _ in STEP_WINDOWS]
+    assert [row[2] for row in found] == pytest.approx([value for _, value in STEP_WINDOWS], abs=1e-12)
+
+
+LATE = (4, 2500, 20000, 20000)
+
+
+@pytest.mark.parametrize(
+    ("files", "first_window"),
+    [
+        ([ZONE_EVENTS + [(4, 200_000, 0, 0)], [(4, 200_001, 0, 0)], [LATE]], 1),  # dropped
+        ([ZONE_EVENTS + [(4, 200_000, 0, 0)], [LATE]], 2),  # the late filter lags one batch
+        ([ZONE_EVENTS + [LATE]], 2),
+    ],
+)
+def test_late_rows(spark, tmp_path, rows, files, first_window):
+    write_files(tmp_path / "in", *files)
+    found = rows(run(spark, tmp_path, exits("interleaved"), finish=True))
+    assert {row[2]: row[3] for row in found if row[0] == 0} == {"TeamA": first_window, "TeamB": 0}
+
+
+def test_a_longer_delay_waits_for_late_rows(spark, tmp_path, rows):
+    write_files(tmp_path / "in", ZONE_EVENTS + [(4, 200_000, 0, 0)], [(4, 200_001, 0, 0)], [LATE])
+
+    def question(stream):
+        return stream_zone_exits(stream, PENALTY_AREAS, rollup=None, scope="interleaved", delay="10 minutes")
+
+    found = rows(run(spark, tmp_path, question, finish=True))
+    assert {row[2]: row[3] for row in found if row[0] == 0} == {"TeamA": 2, "TeamB": 0}
+
+
+def test_replacing_sink_keeps_the_last_answer(spark, tmp_path, rows):
+    write_files(tmp_path / "in", ZONE_EVENTS)
+    finish_positions(spark, str(tmp_path / "in"))
+    result = exits("per_entity", "10 hours")(as_motion(stream_positions(spark, str(tmp_path / "in"))))
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "old.csv").write_text("old\n")
+    write_stream(result.select("zone", "exits"), str(tmp_path / "out"), fmt="csv", replace=True).awaitTermination()
+    lines = [line for f in (tmp_path / "out").glob("part-*") for line in f.read_text().split()]
+    assert sorted(lines) == ["TeamA,2", "TeamB,0"] and not (tmp_path / "out" / "old.csv").exists()
+
+
+def test_best_so_far(spark, rows, positions):
+    windows = motion.avg_step(positions(STEP_EVENTS))
+    early, late = windows.where("window_end < timestamp_millis(200000)"), windows.where("window_end >= timestamp_millis(200000)")
+    known = best_so_far(early, None)
+    assert rows(best_so_far(late, known)) == rows(motion.best_window(windows))
