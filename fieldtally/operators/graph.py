@@ -21,10 +21,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.workspace import new_run_dir, shuffle_partitions
+from fieldtally.workspace import new_run_dir, partitions_for, sized_session
 
 MAX_HOT = 10_000
 HOT_DEGREE = 1_000_000
@@ -113,10 +113,12 @@ class _Search:
     def paths_path(self) -> str:
         return f"{self.folder}/paths"
 
-    def append_settled(self, rows: DataFrame, hops: int) -> None:
+    def append_settled(self, rows: DataFrame, hops: int) -> int:
+        """Writes one level and returns the number of its vertices."""
+        level = Observation()
         (
-            rows.withColumn("hops", F.lit(hops))
-            .select("id", "parent", "hops")
+            rows.select("id", "parent", F.lit(hops).alias("hops"))
+            .observe(level, F.count(F.lit(1)).alias("vertices"))
             .write.mode("append")
             .partitionBy("hops")
             .bucketBy(self.buckets, "id")
@@ -124,6 +126,7 @@ class _Search:
             .option("path", self.settled_path)
             .saveAsTable(self.settled)
         )
+        return level.get["vertices"]
 
     def level(self, hops: int) -> DataFrame:
         return self.spark.table(self.settled).where(F.col("hops") == hops)
@@ -147,20 +150,25 @@ def shortest_paths(
     The search runs when called: a driver loop over Spark jobs that ends when a superstep
     settles nothing or after ``max_hops``. The driver holds counts only. The returned frame
     reads the settled table, which stays in the shared folder like a checkpoint; the edge
-    copy is dropped. The bucket count is the session's ``spark.sql.shuffle.partitions``.
+    copy is dropped. The bucket count grows with the edges up to the session's
+    ``spark.sql.shuffle.partitions``.
     """
     spark = edges.sparkSession
     folder = new_run_dir(spark, "shortest-paths")
-    work = _Search(spark, folder, "search_" + folder.rsplit("-", 1)[1], shuffle_partitions(spark))
+    database = "search_" + folder.rsplit("-", 1)[1]
     edges = edges.select("src", "dst")
-    spark.sql(f"CREATE DATABASE {work.database} LOCATION '{folder}/work'")
+    usable = _usable(edges if directed else both_directions(edges))
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/work'")
     try:
-        hot = _store_edges(work, edges if directed else both_directions(edges), hot_degree)
+        number_of_edges = _list_hot_sources(usable, f"{folder}/hot", hot_degree)
+        buckets = partitions_for(spark, number_of_edges)
+        work = _Search(sized_session(spark, buckets), folder, database, buckets)
+        hot = _store_edges(work, usable, hot_degree)
         depth = _search(work, vertices(edges), source, max_hops, hot)
         if with_path:
             _build_paths(work, depth)
     finally:
-        spark.sql(f"DROP DATABASE IF EXISTS {work.database} CASCADE")
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
     if with_path:
         reached = spark.read.schema(PATHS_SCHEMA).parquet(work.paths_path)
         columns = ["hops", "parent", "path"]
@@ -170,46 +178,53 @@ def shortest_paths(
     return vertices(edges).join(reached, "id", "left").select("id", *columns)
 
 
-def _store_edges(work: _Search, edges: DataFrame, hot_degree: int) -> DataFrame | None:
-    """Writes the bucketed edge table; returns the salted sources, or None without any."""
-    spark = work.spark
-    edges = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
-    hot = (
+def _usable(edges: DataFrame) -> DataFrame:
+    return edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
+
+
+def _list_hot_sources(edges: DataFrame, path: str, hot_degree: int) -> int:
+    """Writes the sources to salt, the largest first; returns the number of edges."""
+    seen = Observation()
+    (
         edges.groupBy("src")
         .agg(F.count(F.lit(1)).alias("degree"))
+        .observe(seen, F.sum("degree").alias("edges"))
         .where(F.col("degree") > hot_degree)
         .orderBy(F.desc("degree"), "src")
         .limit(MAX_HOT)
-        .select(
-            F.col("src").alias("hot_src"),
-            F.least(F.ceil(F.col("degree") / hot_degree), F.lit(work.buckets)).cast("int").alias("salts"),
-        )
+        .select(F.col("src").alias("hot_src"), F.ceil(F.col("degree") / hot_degree).alias("salts"))
+        .write.parquet(path)
     )
-    hot_path = f"{work.folder}/hot"
-    hot.write.parquet(hot_path)
-    hot = spark.read.schema("hot_src LONG, salts INT").parquet(hot_path)
+    return seen.get["edges"] or 0
+
+
+def _store_edges(work: _Search, edges: DataFrame, hot_degree: int) -> DataFrame | None:
+    """Writes the bucketed edge table; returns the salted sources, or None without any."""
+
+    def hot_sources(spark: SparkSession) -> DataFrame:
+        listed = spark.read.schema("hot_src LONG, salts LONG").parquet(f"{work.folder}/hot")
+        return F.broadcast(listed.withColumn("salts", F.least("salts", F.lit(work.buckets)).cast("int")))
+
     edges = edges.distinct()
+    hot = hot_sources(edges.sparkSession)
     if hot.isEmpty():
-        hot, keys = None, ["src"]
+        keys = ["src"]
     else:
         keys = ["src", "salt"]
         salt = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1)))
-        edges = edges.join(F.broadcast(hot), F.col("src") == F.col("hot_src"), "left").select(
-            "src", "dst", salt.cast("int").alias("salt")
-        )
+        edges = edges.join(hot, F.col("src") == F.col("hot_src"), "left").select("src", "dst", salt.cast("int").alias("salt"))
     edges.repartition(work.buckets, *keys).write.bucketBy(work.buckets, *keys).sortBy(*keys).saveAsTable(work.edges)
-    return hot
+    return hot_sources(work.spark) if len(keys) > 1 else None
 
 
 def _search(work: _Search, all_vertices: DataFrame, source: int, max_hops: int, hot: DataFrame | None) -> int:
     """Appends one level after another; returns the number of the last one."""
     start = all_vertices.where(F.col("id") == source).select("id", F.lit(None).cast("long").alias("parent"))
-    work.append_settled(start, 0)
-    hops = 0
-    while hops < max_hops and not work.level(hops).isEmpty():
+    active, hops = work.append_settled(start, 0), 0
+    while active and hops < max_hops:
         fresh = _superstep(work, hops, hot)
         hops += 1
-        work.append_settled(fresh, hops)
+        active = work.append_settled(fresh, hops)
     return hops
 
 
@@ -222,7 +237,7 @@ def _superstep(work: _Search, hops: int, hot: DataFrame | None) -> DataFrame:
         met = frontier.join(edges, F.col("id") == F.col("src"))
     else:
         salts = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("row_salt")
-        frontier = frontier.join(F.broadcast(hot), F.col("id") == F.col("hot_src"), "left").select("id", salts)
+        frontier = frontier.join(hot, F.col("id") == F.col("hot_src"), "left").select("id", salts)
         met = frontier.join(edges, (F.col("id") == F.col("src")) & (F.col("row_salt") == F.col("salt")))
     messages = met.groupBy("dst").agg(F.min("src").alias("parent"))
     settled = work.spark.table(work.settled).select(F.col("id").alias("seen"))

@@ -21,10 +21,11 @@ from fieldtally.sources import (
     read_tagged_tables,
 )
 from fieldtally.streaming import finish_stream, stream_avg_step, stream_zone_exits
-from fieldtally.workspace import new_run_dir
+from fieldtally.workspace import new_run_dir, partitions_for, sized_session
 
 DAY, SPAN, ROLLUP = "1 day", "5 days", "10 days"
 BLOCK = "90 days"
+STATE_SLICE = "1 minute"
 
 
 def ntz(*names: str):
@@ -178,22 +179,25 @@ def running_best(spark: SparkSession, sf: str, since: str | None = None) -> Data
     return best.select(*bounds, F.round("best_avg", 6).alias("best_avg"))
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = table(spark, sf, "events").schema
+def finished(spark: SparkSession, sf: str, question: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``question`` asked of the events as a stream, with state partitions sized to them."""
+    events = table(spark, sf, "events")
+    session = sized_session(spark, partitions_for(spark, events.count()))
     # a pattern, because a stream takes a folder or a pattern but not the path of one file
-    return roles.as_positions(spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet"))
+    stream = session.readStream.schema(events.schema).parquet(f"{sf}/event[s].parquet")
+    return finish_stream(roles.as_positions(stream), question, reader=spark)
 
 
 def streamed_zone_exits(spark: SparkSession, sf: str) -> DataFrame:
-    total = finish_stream(
-        event_stream(spark, sf), lambda rows: stream_zone_exits(rows, ZONES, DAY, ROLLUP, entities=BALLS)
+    total = finished(
+        spark, sf, lambda rows: stream_zone_exits(rows, ZONES, DAY, ROLLUP, entities=BALLS, slice_width=STATE_SLICE)
     )
     return total.select(*ntz("window_start", "window_end"), "zone", "exits")
 
 
 def streamed_avg_step(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_windows(
-        finish_stream(event_stream(spark, sf), lambda rows: stream_avg_step(rows, SPAN, DAY, entities=[PLAYER]))
+        finished(spark, sf, lambda rows: stream_avg_step(rows, SPAN, DAY, entities=[PLAYER], slice_width=STATE_SLICE))
     )
 
 

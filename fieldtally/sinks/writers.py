@@ -24,11 +24,13 @@ def write_table(
     """Delimited text, quoted where needed, so the table can be read back as it was.
 
     ``order_by`` range-partitions and sorts the rows; ``as_text`` compares the columns as
-    text (10 before 9), the order in which text keys leave a shuffle sort. An existing
-    folder is an error unless ``mode`` says otherwise.
+    text (10 before 9), the order in which text keys leave a shuffle sort. The other columns
+    break ties, so that rows of one frequent key can be spread over several files. An
+    existing folder is an error unless ``mode`` says otherwise.
     """
     if order_by:
-        df = df.orderBy(*[F.col(name).cast("string") if as_text else F.col(name) for name in order_by])
+        first = [F.col(name).cast("string") if as_text else F.col(name) for name in order_by]
+        df = df.orderBy(*first, *[name for name in df.columns if name not in order_by])
     df.write.csv(path, sep=sep, mode=mode, header=header, escape='"', dateFormat="yyyy-MM-dd")
 
 

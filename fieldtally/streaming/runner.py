@@ -40,13 +40,14 @@ def finish_stream(
     question: Callable[[DataFrame], DataFrame],
     path: str | None = None,
     checkpoint: str | None = None,
+    reader: SparkSession | None = None,
 ) -> DataFrame:
     """Runs ``question`` over everything ``positions`` has now and closes every window.
 
     The query runs twice on one checkpoint: first over the available input, in as many
     micro-batches as the source makes of it, then over the end marker alone, so that the
     marker cannot overtake a row. Both runs may be interrupted and repeated. Returns the
-    finished windows as a batch table.
+    finished windows as a batch table of the session ``reader`` (by default the stream's).
     """
     spark = positions.sparkSession
     folder = new_run_dir(spark, "stream")
@@ -59,4 +60,4 @@ def finish_stream(
     write_stream(result, path, checkpoint).awaitTermination()
     _marker(spark, positions.schema, present=True).write.mode("append").parquet(markers)
     write_stream(result, path, checkpoint).awaitTermination()
-    return spark.read.schema(result.schema).parquet(path)
+    return (reader or spark).read.schema(result.schema).parquet(path)

@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+SHUFFLE_SETTING = "spark.sql.shuffle.partitions"
+ROWS_PER_PARTITION = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,4 +32,23 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(spark.conf.get(SHUFFLE_SETTING))
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for a table of ``rows`` rows: one per core at least, the session's number
+    of shuffle partitions at most, and between them about ``ROWS_PER_PARTITION`` rows each."""
+    wanted = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_PARTITION))
+    return max(1, min(shuffle_partitions(spark), wanted))
+
+
+def sized_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session on the same cluster and catalog, with the settings of ``spark`` except for
+    its number of shuffle partitions. Loops over small tables and streams keep that number
+    for their whole life; the caller's session stays as it is."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set(SHUFFLE_SETTING, str(partitions))
+    return session

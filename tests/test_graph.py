@@ -119,10 +119,12 @@ def test_a_superstep_shuffles_messages_only(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         edges = frame(spark, TOY_EDGES)
+        assert graph._list_hot_sources(edges, f"{work.folder}/hot", graph.HOT_DEGREE) == 13
         assert graph._store_edges(work, edges, graph.HOT_DEGREE) is None
         work.append_settled(spark.createDataFrame([(17274, None)], "id LONG, parent LONG"), 0)
         step = graph._superstep(work, 0, None)
         plan = step._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
         assert plan.count("Exchange") == 1
         exchange = plan.index("Exchange hashpartitioning(dst")
         assert "partial_min" in plan[exchange:]
