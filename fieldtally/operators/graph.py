@@ -28,6 +28,7 @@ from fieldtally.workspace import new_run_dir, partitions_for, sized_session
 
 MAX_HOT = 10_000
 HOT_DEGREE = 1_000_000
+HOT_SCHEMA = "hot_src LONG, salts LONG"
 SETTLED_SCHEMA = "id LONG, parent LONG, hops INT"
 PATHS_SCHEMA = "id LONG, parent LONG, path ARRAY<LONG>, hops INT"
 
@@ -101,6 +102,10 @@ class _Search:
     def edges(self) -> str:
         return f"{self.database}.edges"
 
+    @property
+    def hot(self) -> str:
+        return f"{self.database}.hot"
+
     @property
     def settled(self) -> str:
         return f"{self.database}.settled"
@@ -163,8 +168,8 @@ def shortest_paths(
         number_of_edges = _list_hot_sources(usable, f"{folder}/hot", hot_degree)
         buckets = partitions_for(spark, number_of_edges)
         work = _Search(sized_session(spark, buckets), folder, database, buckets)
-        hot = _store_edges(work, usable, hot_degree)
-        depth = _search(work, vertices(edges), source, max_hops, hot)
+        salted = _store_edges(work, usable)
+        depth = _search(work, vertices(edges), source, max_hops, salted)
         if with_path:
             _build_paths(work, depth)
     finally:
@@ -198,51 +203,46 @@ def _list_hot_sources(edges: DataFrame, path: str, hot_degree: int) -> int:
     return seen.get["edges"] or 0
 
 
-def _store_edges(work: _Search, edges: DataFrame, hot_degree: int) -> DataFrame | None:
-    """Writes the bucketed edge table; returns the salted sources, or None without any."""
-
-    def hot_sources(spark: SparkSession) -> DataFrame:
-        listed = spark.read.schema("hot_src LONG, salts LONG").parquet(f"{work.folder}/hot")
-        return F.broadcast(listed.withColumn("salts", F.least("salts", F.lit(work.buckets)).cast("int")))
-
+def _store_edges(work: _Search, edges: DataFrame) -> bool:
+    """Writes the bucketed edge table; returns whether some of its sources are salted."""
     edges = edges.distinct()
-    hot = hot_sources(edges.sparkSession)
-    if hot.isEmpty():
-        keys = ["src"]
-    else:
-        keys = ["src", "salt"]
-        salt = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1)))
-        edges = edges.join(hot, F.col("src") == F.col("hot_src"), "left").select("src", "dst", salt.cast("int").alias("salt"))
+    listed = edges.sparkSession.read.schema(HOT_SCHEMA).parquet(f"{work.folder}/hot")
+    salted = not listed.isEmpty()
+    keys = ["src", "salt"] if salted else ["src"]
+    if salted:
+        hot = listed.withColumn("salts", F.least("salts", F.lit(work.buckets)).cast("int"))
+        hot.write.saveAsTable(work.hot)
+        salt = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")
+        edges = edges.join(F.broadcast(hot), F.col("src") == F.col("hot_src"), "left").select("src", "dst", salt)
     edges.repartition(work.buckets, *keys).write.bucketBy(work.buckets, *keys).sortBy(*keys).saveAsTable(work.edges)
-    return hot_sources(work.spark) if len(keys) > 1 else None
+    return salted
 
 
-def _search(work: _Search, all_vertices: DataFrame, source: int, max_hops: int, hot: DataFrame | None) -> int:
+def _search(work: _Search, all_vertices: DataFrame, source: int, max_hops: int, salted: bool) -> int:
     """Appends one level after another; returns the number of the last one."""
     start = all_vertices.where(F.col("id") == source).select("id", F.lit(None).cast("long").alias("parent"))
     active, hops = work.append_settled(start, 0), 0
     while active and hops < max_hops:
-        fresh = _superstep(work, hops, hot)
+        fresh = _superstep(work, hops, salted)
         hops += 1
         active = work.append_settled(fresh, hops)
     return hops
 
 
-def _superstep(work: _Search, hops: int, hot: DataFrame | None) -> DataFrame:
+def _superstep(work: _Search, hops: int, salted: bool) -> DataFrame:
     """Vertices first reached from level ``hops``. Its one shuffle is that of the messages
     (with salted sources also that of the frontier)."""
-    frontier = work.level(hops).select("id")
-    edges = work.spark.table(work.edges)
-    if hot is None:
-        met = frontier.join(edges, F.col("id") == F.col("src"))
-    else:
-        salts = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("row_salt")
-        frontier = frontier.join(hot, F.col("id") == F.col("hot_src"), "left").select("id", salts)
-        met = frontier.join(edges, (F.col("id") == F.col("src")) & (F.col("row_salt") == F.col("salt")))
-    messages = met.groupBy("dst").agg(F.min("src").alias("parent"))
-    settled = work.spark.table(work.settled).select(F.col("id").alias("seen"))
-    fresh = messages.join(settled, F.col("dst") == F.col("seen"), "left_anti")
-    return fresh.select(F.col("dst").alias("id"), "parent")
+    frontier = f"SELECT id FROM {work.settled} WHERE hops = {hops}"
+    same = "e.src = f.id"
+    if salted:
+        frontier = f"""
+            SELECT /*+ BROADCAST(h) */ id, explode(sequence(0, coalesce(salts, 1) - 1)) AS salt
+            FROM ({frontier}) LEFT JOIN {work.hot} h ON hot_src = id"""
+        same = "e.src = f.id AND e.salt = f.salt"
+    return work.spark.sql(f"""
+        SELECT dst AS id, parent
+        FROM (SELECT e.dst, min(e.src) AS parent FROM ({frontier}) f JOIN {work.edges} e ON {same} GROUP BY e.dst)
+        LEFT ANTI JOIN {work.settled} s ON s.id = dst""")
 
 
 def _build_paths(work: _Search, depth: int) -> None:

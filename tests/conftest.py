@@ -1,5 +1,5 @@
 import sys
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -45,9 +45,6 @@ def _plain(value):
     return value
 
 
-EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
-
-
 @pytest.fixture
 def positions(spark):
     """Positions from (entity, ms, x, y[, seq]) tuples."""
