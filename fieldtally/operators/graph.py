@@ -28,6 +28,7 @@ from fieldtally.workspace import new_run_dir, partitions_for, sized_session
 
 MAX_HOT = 10_000
 HOT_DEGREE = 1_000_000
+SMALL_FRONTIER = 1_000
 HOT_SCHEMA = "hot_src LONG, salts LONG"
 SETTLED_SCHEMA = "id LONG, parent LONG, hops INT"
 PATHS_SCHEMA = "id LONG, parent LONG, path ARRAY<LONG>, hops INT"
@@ -153,7 +154,8 @@ def shortest_paths(
     smallest parent id is kept, so the result does not depend on the order of rows.
 
     The search runs when called: a driver loop over Spark jobs that ends when a superstep
-    settles nothing or after ``max_hops``. The driver holds counts only. The returned frame
+    settles nothing or after ``max_hops``. The driver holds counts, and the ids of frontiers of
+    at most ``SMALL_FRONTIER`` vertices. The returned frame
     reads the settled table, which stays in the shared folder like a checkpoint; the edge
     copy is dropped. The bucket count grows with the edges up to the session's
     ``spark.sql.shuffle.partitions``.
@@ -223,15 +225,35 @@ def _search(work: _Search, all_vertices: DataFrame, source: int, max_hops: int,
     start = all_vertices.where(F.col("id") == source).select("id", F.lit(None).cast("long").alias("parent"))
     active, hops = work.append_settled(start, 0), 0
     while active and hops < max_hops:
-        fresh = _superstep(work, hops, salted)
+        fresh = _superstep(work, hops, active, salted)
         hops += 1
         active = work.append_settled(fresh, hops)
     return hops
 
 
-def _superstep(work: _Search, hops: int, salted: bool) -> DataFrame:
-    """Vertices first reached from level ``hops``. Its one shuffle is that of the messages
-    (with salted sources also that of the frontier)."""
+def _superstep(work: _Search, hops: int, active: int, salted: bool) -> DataFrame:
+    """Vertices first reached from the ``active`` vertices of level ``hops``.
+
+    The one shuffle is that of the messages (with salted sources also that of the frontier).
+    """
+    if active <= SMALL_FRONTIER:
+        met = _edges_of_few(work, hops)
+    else:
+        met = _edges_of_frontier(work, hops, salted)
+    return work.spark.sql(f"""
+        SELECT dst AS id, parent
+        FROM (SELECT dst, min(src) AS parent FROM ({met}) GROUP BY dst)
+        LEFT ANTI JOIN {work.settled} s ON s.id = dst""")
+
+
+def _edges_of_few(work: _Search, hops: int) -> str:
+    """Edges of a frontier of at most ``SMALL_FRONTIER`` ids, named in the query: the scan
+    then reads only their buckets and row groups instead of all edges."""
+    ids = ", ".join(str(row["id"]) for row in work.level(hops).select("id").collect())
+    return f"SELECT src, dst FROM {work.edges} WHERE src IN ({ids})"
+
+
+def _edges_of_frontier(work: _Search, hops: int, salted: bool) -> str:
     frontier = f"SELECT id FROM {work.settled} WHERE hops = {hops}"
     same = "e.src = f.id"
     if salted:
@@ -239,10 +261,7 @@ def _superstep(work: _Search, hops: int, salted: bool) -> DataFrame:
             SELECT /*+ BROADCAST(h) */ id, explode(sequence(0, coalesce(salts, 1) - 1)) AS salt
             FROM ({frontier}) LEFT JOIN {work.hot} h ON hot_src = id"""
         same = "e.src = f.id AND e.salt = f.salt"
-    return work.spark.sql(f"""
-        SELECT dst AS id, parent
-        FROM (SELECT e.dst, min(e.src) AS parent FROM ({frontier}) f JOIN {work.edges} e ON {same} GROUP BY e.dst)
-        LEFT ANTI JOIN {work.settled} s ON s.id = dst""")
+    return f"SELECT e.src, e.dst FROM ({frontier}) f JOIN {work.edges} e ON {same}"
 
 
 def _build_paths(work: _Search, depth: int) -> None:

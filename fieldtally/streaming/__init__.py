@@ -1,4 +1,4 @@
-from fieldtally.streaming.motion import best_so_far, stream_avg_step, stream_zone_exits
+from fieldtally.streaming.motion import best_so_far, read_best, stream_avg_step, stream_zone_exits, track_best
 from fieldtally.streaming.runner import finish_positions, finish_stream
 
-__all__ = ["best_so_far", "finish_positions", "finish_stream", "stream_avg_step", "stream_zone_exits"]
+__all__ = ["best_so_far", "finish_positions", "finish_stream", "read_best", "stream_avg_step", "stream_zone_exits", "track_best"]

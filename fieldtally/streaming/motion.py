@@ -12,13 +12,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import gcd
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from fieldtally.functions import Zone, bit, distance, left_zones, zone_mask
-from fieldtally.operators.motion import SLICES_PER_WINDOW, zone_rows
+from fieldtally.operators.motion import SLICES_PER_WINDOW, best_window, zone_rows
 from fieldtally.operators.ordered import micros
 from fieldtally.streaming.runner import END_OF_INPUT
+from fieldtally.workspace import new_run_dir
 
 
 def span(length: int) -> str:
@@ -156,9 +158,37 @@ def stream_avg_step(
     )
 
 
-def best_so_far(batch: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Best window of a finished batch and of what was known before, for ``foreachBatch``."""
-    from fieldtally.operators.motion import best_window
+BEST_SCHEMA = "window_start TIMESTAMP, window_end TIMESTAMP, avg_step DOUBLE"
+
 
+def best_so_far(batch: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Best window of a finished batch and of what was known before."""
     windows = batch.select("window_start", "window_end", "avg_step")
     return best_window(windows if known is None else windows.unionByName(known))
+
+
+def read_best(spark: SparkSession, path: str) -> DataFrame:
+    """The best window that ``track_best`` has recorded below ``path``."""
+    return best_window(spark.read.schema(f"{BEST_SCHEMA}, batch LONG").parquet(path).drop("batch"))
+
+
+def track_best(
+    windows: DataFrame, path: str, checkpoint: str | None = None, available_now: bool = True
+) -> StreamingQuery:
+    """Starts a query that keeps the best of all windows a stream has finished.
+
+    Each micro-batch records the best so far under its own batch number, so a repeated batch
+    replaces its own record and changes nothing else. Read it with ``read_best``.
+    """
+    spark = windows.sparkSession
+    checkpoint = checkpoint or new_run_dir(spark, "best")
+
+    def merge(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        session.createDataFrame([], BEST_SCHEMA).write.mode("overwrite").parquet(f"{path}/batch=-1")
+        recorded = session.read.schema(f"{BEST_SCHEMA}, batch LONG").parquet(path)
+        known = recorded.where(F.col("batch") < number).drop("batch")
+        best_so_far(batch, known).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = windows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(merge)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

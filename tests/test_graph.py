@@ -85,8 +85,10 @@ def test_empty_graph(spark):
     assert graph.shortest_paths(frame(spark, []), 1).count() == 0
 
 
+@pytest.mark.parametrize("small_frontier", [0, graph.SMALL_FRONTIER])
 @pytest.mark.parametrize("hot_degree", [graph.HOT_DEGREE, 20])
-def test_random_graph_with_a_hub(spark, hot_degree):
+def test_random_graph_with_a_hub(spark, monkeypatch, hot_degree, small_frontier):
+    monkeypatch.setattr(graph, "SMALL_FRONTIER", small_frontier)
     rng = random.Random(5)
     edges = [(rng.randrange(150), rng.randrange(150)) for _ in range(220)]
     edges += [(3, rng.randrange(300)) for _ in range(150)] + [(rng.randrange(150), 4) for _ in range(150)]
@@ -115,8 +117,9 @@ def test_paths_are_made_of_edges(spark):
     assert found(graph.shortest_paths(frame(spark, shuffled).repartition(7), 1)) == result
 
 
-def test_a_superstep_shuffles_messages_only(spark):
-    """With broadcasts off, as at scale: edges and settled vertices are read where they lie."""
+def test_plans_of_a_superstep(spark):
+    """With broadcasts off, as at scale: edges and settled vertices are read where they lie,
+    messages are combined before their shuffle, and a small frontier is a filter of the scan."""
     work = graph._Search(spark, graph.new_run_dir(spark, "plan"), "plan_search", 4)
     spark.sql(f"CREATE DATABASE {work.database} LOCATION '{work.folder}/work'")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -126,14 +129,14 @@ def test_a_superstep_shuffles_messages_only(spark):
         assert graph._list_hot_sources(edges, f"{work.folder}/hot", graph.HOT_DEGREE) == 13
         assert not graph._store_edges(work, edges)
         work.append_settled(spark.createDataFrame([(17274, None)], "id LONG, parent LONG"), 0)
-        step = graph._superstep(work, 0, salted=False)
-        plan = step._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan
-        assert plan.count("Exchange") == 1
-        exchange = plan.index("Exchange hashpartitioning(dst")
-        assert "partial_min" in plan[exchange:]
-        assert plan.count("SortMergeJoin") == 2
-        assert sorted(row["id"] for row in step.collect()) == [2, 3, 4, 7]
+        for active, joins in ((graph.SMALL_FRONTIER + 1, 2), (1, 1)):
+            step = graph._superstep(work, 0, active, salted=False)
+            plan = step._jdf.queryExecution().executedPlan().toString()
+            assert "Broadcast" not in plan and plan.count("SortMergeJoin") == joins
+            assert plan.count("Exchange") == 1
+            assert "partial_min" in plan[plan.index("Exchange hashpartitioning(dst") :]
+            assert ("EqualTo(src,17274)" in plan) == (active == 1)
+            assert sorted(row["id"] for row in step.collect()) == [2, 3, 4, 7]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql(f"DROP DATABASE {work.database} CASCADE")

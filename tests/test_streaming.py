@@ -7,7 +7,15 @@ from fieldtally.functions import BALL_SENSORS, PENALTY_AREAS, PLAYER_SENSOR
 from fieldtally.operators import motion
 from fieldtally.sinks import write_stream
 from fieldtally.sources import read_positions, stream_positions
-from fieldtally.streaming import best_so_far, finish_positions, finish_stream, stream_avg_step, stream_zone_exits
+from fieldtally.streaming import (
+    best_so_far,
+    finish_positions,
+    finish_stream,
+    read_best,
+    stream_avg_step,
+    stream_zone_exits,
+    track_best,
+)
 from fixtures import STEP_EVENTS, STEP_WINDOWS, ZONE_EVENTS, position_line
 
 
@@ -112,3 +120,13 @@ def test_best_so_far(spark, rows, positions):
     early, late = windows.where("window_end < timestamp_millis(200000)"), windows.where("window_end >= timestamp_millis(200000)")
     known = best_so_far(early, None)
     assert rows(best_so_far(late, known)) == rows(motion.best_window(windows))
+
+
+def test_track_best_over_micro_batches(spark, tmp_path, rows):
+    events = [(47, 0, 0, 0), (47, 30_000, 3, 4), (47, 400_000, 0, 0), (47, 410_000, 30, 40), (47, 900_000, 0, 0)]
+    write_files(tmp_path / "in", events[:2], events[2:4], events[4:])
+    finish_positions(spark, str(tmp_path / "in"))
+    windows = stream_avg_step(as_motion(stream_positions(spark, str(tmp_path / "in"), max_files_per_trigger=1)))
+    track_best(windows, str(tmp_path / "best"), str(tmp_path / "progress")).awaitTermination()
+    batch = motion.best_window(motion.avg_step(as_motion(read_positions(spark, str(tmp_path / "in"))).where("entity = 47")))
+    assert rows(read_best(spark, str(tmp_path / "best"))) == rows(batch) and rows(batch)[0][2] == 25.0
