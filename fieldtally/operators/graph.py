@@ -169,19 +169,23 @@ def shortest_paths(
     try:
         number_of_edges = _list_hot_sources(usable, f"{folder}/hot", hot_degree)
         buckets = partitions_for(spark, number_of_edges)
-        work = _Search(sized_session(spark, buckets), folder, database, buckets)
+        # the layout fixes every partition and join partner of a superstep, so there is nothing
+        # to adapt while it runs, and each level is spared the planning
+        session = sized_session(spark, buckets, spark__sql__adaptive__enabled="false")
+        work = _Search(session, folder, database, buckets)
         salted = _store_edges(work, usable)
         depth = _search(work, vertices(edges), source, max_hops, salted)
         if with_path:
-            _build_paths(work, depth)
+            _build_paths(spark, work, depth)
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
-    if with_path:
+    columns = ["hops", "parent", "path"] if with_path else ["hops", "parent"]
+    if depth < 0:
+        reached = spark.createDataFrame([], PATHS_SCHEMA)
+    elif with_path:
         reached = spark.read.schema(PATHS_SCHEMA).parquet(work.paths_path)
-        columns = ["hops", "parent", "path"]
     else:
         reached = spark.read.schema(SETTLED_SCHEMA).parquet(work.settled_path)
-        columns = ["hops", "parent"]
     return vertices(edges).join(reached, "id", "left").select("id", *columns)
 
 
@@ -221,14 +225,15 @@ def _store_edges(work: _Search, edges: DataFrame) -> bool:
 
 
 def _search(work: _Search, all_vertices: DataFrame, source: int, max_hops: int, salted: bool) -> int:
-    """Appends one level after another; returns the number of the last one."""
+    """Appends one level after another; returns the number of the last one with a vertex,
+    or -1 when the source is not in the graph."""
     start = all_vertices.where(F.col("id") == source).select("id", F.lit(None).cast("long").alias("parent"))
     active, hops = work.append_settled(start, 0), 0
     while active and hops < max_hops:
         fresh = _superstep(work, hops, active, salted)
         hops += 1
         active = work.append_settled(fresh, hops)
-    return hops
+    return hops if active else hops - 1
 
 
 def _superstep(work: _Search, hops: int, active: int, salted: bool) -> DataFrame:
@@ -264,19 +269,20 @@ def _edges_of_frontier(work: _Search, hops: int, salted: bool) -> str:
     return f"SELECT e.src, e.dst FROM ({frontier}) f JOIN {work.edges} e ON {same}"
 
 
-def _build_paths(work: _Search, depth: int) -> None:
+def _build_paths(spark: SparkSession, work: _Search, depth: int) -> None:
     """Extends the paths of one level to the next.
 
     Only here do paths move, once per vertex. A parent of many vertices is a hot key with a
-    single row on the other side, which AQE broadcasts when small and splits when not.
+    single row on the other side; the caller's session has AQE broadcast that side when small
+    and split the hot partition when not.
     """
     for hops in range(depth + 1):
-        level = work.level(hops).select("id", "parent")
+        level = spark.read.schema("id LONG, parent LONG").parquet(f"{work.settled_path}/hops={hops}")
         if hops == 0:
             rows = level.withColumn("path", F.array("id"))
         else:
             above = (
-                work.spark.read.schema("id LONG, parent LONG, path ARRAY<LONG>")
+                spark.read.schema("id LONG, parent LONG, path ARRAY<LONG>")
                 .parquet(f"{work.paths_path}/hops={hops - 1}")
                 .select(F.col("id").alias("above_id"), F.col("path").alias("above_path"))
             )

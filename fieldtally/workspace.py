@@ -42,13 +42,15 @@ def partitions_for(spark: SparkSession, rows: int) -> int:
     return max(1, min(shuffle_partitions(spark), wanted))
 
 
-def sized_session(spark: SparkSession, partitions: int) -> SparkSession:
+def sized_session(spark: SparkSession, partitions: int, **changes: str) -> SparkSession:
     """A session on the same cluster and catalog, with the settings of ``spark`` except for
-    its number of shuffle partitions. Loops over small tables and streams keep that number
-    for their whole life; the caller's session stays as it is."""
+    its number of shuffle partitions and the other ``changes`` (dots written as ``__``). Loops
+    over tables and streams keep them for their whole life; the caller's session stays as it is."""
     session = spark.newSession()
     for name, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(name):
             session.conf.set(name, value)
     session.conf.set(SHUFFLE_SETTING, str(partitions))
+    for name, value in changes.items():
+        session.conf.set(name.replace("__", "."), value)
     return session
