@@ -46,9 +46,10 @@ def in_zone(zone: Zone, x: Column, y: Column) -> Column:
 
 def zone_mask(zones: Sequence[Zone], x: Column, y: Column) -> Column:
     """One bit per zone, so that any number of zones travels as one LONG."""
-    mask = F.lit(0).cast("long")
+    none = F.lit(0).cast("long")
+    mask = none
     for position, zone in enumerate(zones):
-        mask = mask.bitwiseOR(F.when(in_zone(zone, x, y), F.lit(1 << position).cast("long")).otherwise(F.lit(0).cast("long")))
+        mask = mask.bitwiseOR(F.when(in_zone(zone, x, y), F.lit(1 << position).cast("long")).otherwise(none))
     return mask
 
 

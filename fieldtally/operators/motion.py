@@ -180,7 +180,8 @@ def running_best(windows: DataFrame, emit_from: Column | None = None, block: str
     recorded time meets in one task.
     """
     rank = F.struct(F.col("avg_step"), (-F.unix_micros("window_start")).alias("start"), F.col("window_end").alias("end"))
-    ranked = windows.select("window_start", "window_end", rank.alias("rank"), slice_of(F.col("window_end"), micros(block)).alias("_block"))
+    in_block = slice_of(F.col("window_end"), micros(block)).alias("_block")
+    ranked = windows.select("window_start", "window_end", rank.alias("rank"), in_block)
     blocks = ranked.groupBy("_block").agg(F.max("rank").alias("top"))
     earlier = blocks.select(
         F.col("_block").alias("_b"),
