@@ -29,7 +29,7 @@ SQL["op7_chosen_path_neardup"] = f"""
 WITH RECURSIVE docs AS (SELECT doc_id, {WORDS.format(LOWERED.format('text'))} AS w FROM documents),
 sets AS (
     SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM docs),
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM docs),
 sizes AS (SELECT doc_id, len(s) AS n FROM sets),
 shingles AS MATERIALIZED (SELECT doc_id, unnest(s) AS x FROM sets),
 pairs AS (
