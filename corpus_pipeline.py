@@ -1,11 +1,27 @@
-"""A training-data pipeline of this library's operators; each stage reads what the one before it kept."""
+"""A training-data pipeline over ``documents``.
+
+Each stage works on all that the one before it kept and returns the columns of ``documents``;
+the last one returns where each row goes. Rows are told apart by id and text, and rows alike in both share
+their fate, except among near duplicates, where exactly one row of a group stays.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fieldtally.llm.decontam import drop_contaminated
+from fieldtally.llm.langid import keep_identified
+from fieldtally.llm.mixing import Mixture
 from fieldtally.llm.neardup import drop_near_duplicates
+from fieldtally.llm.queries import WEIGHTS, levels
 from fieldtally.llm.scratch import Scratch
+from fieldtally.llm.sharding import shard_rows
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with enough certainty stay."""
+    return keep_identified(docs, F.col("text"), F.col("doc_id"), declared=F.col("lang"), host=F.col("source"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,9 +29,30 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a word inside a passage of the benchmark go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, dealt by the target weights: a row stays once for each epoch that takes it."""
+    return Mixture(docs, levels(), WEIGHTS).mixed(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, size, text_crc32, shard, slot) of every row."""
+    return shard_rows(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
+    ("shard", shard),
+]
 
-#: The chosen-path join, and with it the pipeline, is tested against brute force instead.
+#: Language model and random shuffle have no SQL form; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 

@@ -42,7 +42,7 @@ SHINGLE = 5
 THRESHOLD = 85  #: percent
 TREES = 8
 COORDINATES = 64
-SMALL_NODE = 32
+SMALL_NODE = 250
 #: A link has fewer equal coordinates than this with a probability under 1e-6 (binomial, 64 draws at 0.85).
 LEAST_EQUAL = 40
 #: Nodes this deep are compared exhaustively whatever their size (equal signatures without a link).
@@ -247,6 +247,8 @@ class Forest:
         two = self.texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b"))
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
         found = self.scratch.written(full.mapInArrow(_confirm, "a long, b long"), "links")
+        if self.links is not None and found.isEmpty():
+            return
         found = found.select(F.greatest("a", "b").alias("child"), F.least("a", "b").alias("parent"))
         self.links = found if self.links is None else self.links.union(found)
         known = found if self.comps is None else self.comps.union(found)
@@ -269,7 +271,7 @@ class Forest:
             if rest:
                 return
             members = self.scratch.written(self.branched(large, levels), "level")
-            depth, levels, first = depth + levels, levels + (not first), False
+            depth, levels, first = depth + levels, depth, False
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = 7) -> DataFrame:

@@ -4,23 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldtally.llm.decontam import contamination
+from fieldtally.llm.langid import identify
+from fieldtally.llm.mixing import Mixture
 from fieldtally.llm.neardup import near_duplicates
+from fieldtally.llm.sharding import shard_rows
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Target weights of the tree domain - language - source; nodes that are not named weigh 1.
+WEIGHTS = {
+    ("crawl",): 2, ("forum",): 3, ("library",): 5,
+    **{(d, lang): w for d in ("crawl", "forum", "library") for lang, w in (("en", 5), ("de", 2), ("fr", 2), ("es", 1))},
+}
+
+
+def levels() -> dict[str, Column]:
+    """The tables name no domain: the largest source is a crawl, odd ones forums, even ones libraries."""
+    source = F.col("source")
+    domain = F.when(source == "src0", "crawl").when(F.substring(source, -1, 1).isin(*"13579"), "forum").otherwise("library")
+    return {"domain": domain, "lang": F.col("lang"), "source": source}
+
+
+def op1_hierarchical_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    mixed = Mixture(docs, levels(), WEIGHTS).assign(docs)
+    return mixed.select(
+        "doc.doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"), F.col("mix_source").alias("source"),
+        "n_tokens", "leaf_budget", "copies", "partial_tokens",
+    )
+
+
+def op2_evidence_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return identify(docs, F.col("text"), F.col("doc_id"), declared=F.col("lang"), host=F.col("source"))
+
+
+def op6_hypergeometric_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return shard_rows(table(spark, sf, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op7_chosen_path_neardup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents")).select(
         "doc.doc_id", "n_shingles", "component_id", "kept"
     )
 
 
+def op10_winnowed_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("th")
+
+
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL: dict[str, str] = {}
@@ -48,8 +91,35 @@ FROM sizes s LEFT JOIN best ON v = s.doc_id
 """
 
 
+SQL["op10_winnowed_leaks"] = f"""
+WITH docs AS (SELECT doc_id, {ALNUM.format(LOWERED.format('text'))} AS w FROM documents),
+items AS (SELECT item_id, {ALNUM.format(LOWERED.format('text'))} AS w FROM benchmark),
+wins AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n,
+        unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS x
+    FROM items WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM wins),
+own AS (
+    SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS p,
+        unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS x
+    FROM docs, sizes WHERE len(w) >= n),
+hits AS (SELECT doc_id, p, n, item_id FROM own JOIN wins USING (n, x)),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY 1),
+lists AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN lists USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_chosen_path_neardup,)}
+    found = (
+        op1_hierarchical_mixture, op2_evidence_language, op6_hypergeometric_shards, op7_chosen_path_neardup,
+        op10_winnowed_leaks,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
