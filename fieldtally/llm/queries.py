@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldtally.llm import perplexity, quality, records, urlrules, warc
 from fieldtally.llm.decontam import contamination
 from fieldtally.llm.langid import identify
 from fieldtally.llm.mixing import Mixture
 from fieldtally.llm.neardup import near_duplicates
+from fieldtally.llm.scratch import Scratch
 from fieldtally.llm.sharding import shard_rows
 
 
@@ -46,6 +48,30 @@ def op2_evidence_language(spark: SparkSession, sf: str) -> DataFrame:
     return identify(docs, F.col("text"), F.col("doc_id"), declared=F.col("lang"), host=F.col("source"))
 
 
+def op3_divergence_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(table(spark, sf, "documents"))
+
+
+def op4_framed_token_records(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    scratch = Scratch(spark, "records")
+    index = records.write_records(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), scratch.folder("records"))
+    return records.token_starts(records.read_records(index), scratch)
+
+
+def labelled_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """(url, bad): a page's path ends in the id of the document it shows, and that may have a label."""
+    labels = table(spark, sf, "labels").groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    shown = F.expr(r"try_cast(regexp_extract(url, '://[^/?#]*/[^/?#]*/([0-9]+)', 1) AS BIGINT)")
+    pages = table(spark, sf, "pages").select("url", shown.alias("doc_id"))
+    return pages.join(labels, "doc_id").select("url", "bad")
+
+
+def op5_association_urls(spark: SparkSession, sf: str) -> DataFrame:
+    return urlrules.judge(table(spark, sf, "pages"), labelled_urls(spark, sf))
+
+
 def op6_hypergeometric_shards(spark: SparkSession, sf: str) -> DataFrame:
     return shard_rows(table(spark, sf, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -58,6 +84,17 @@ def op7_chosen_path_neardup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_chunked_warc(spark: SparkSession, sf: str) -> DataFrame:
+    scratch = Scratch(spark, "warc")
+    manifest = warc.write_archives(table(spark, sf, "pages"), scratch.folder("archives"), scratch)
+    return warc.page_digests(warc.read_chunks(manifest, with_data=False))
+
+
+def op9_kneser_ney_quality(spark: SparkSession, sf: str) -> DataFrame:
+    good = table(spark, sf, "labels").where("quality = 1 and toxic = 0")
+    return perplexity.score(table(spark, sf, "documents"), good)
+
+
 def op10_winnowed_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("th")
 
@@ -116,8 +153,9 @@ FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN lists USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_hierarchical_mixture, op2_evidence_language, op6_hypergeometric_shards, op7_chosen_path_neardup,
-        op10_winnowed_leaks,
+        op1_hierarchical_mixture, op2_evidence_language, op3_divergence_quality, op4_framed_token_records,
+        op5_association_urls, op6_hypergeometric_shards, op7_chosen_path_neardup, op8_chunked_warc,
+        op9_kneser_ney_quality, op10_winnowed_leaks,
     )
     return {f.__name__: f for f in found}
 

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldtally.workspace import new_run_dir
 
+_HOME = str(Path(__file__).resolve().parents[2])
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Adds this library's folder to the module path of Python workers, for runs from a checkout. Where the
+    library is installed on the cluster this changes nothing."""
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if _HOME not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (path, _HOME) if x)
+
 
 class Scratch:
     """A folder for the intermediate tables of one job, below ``spark.checkpoint.dir``."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.path, self._n = spark, new_run_dir(spark, label), 0
+        let_workers_import(spark)
 
     def folder(self, name: str) -> str:
         self._n += 1
