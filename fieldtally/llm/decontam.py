@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldtally.llm.membership import without
 from fieldtally.llm.scratch import Scratch
 from fieldtally.llm.words import ALNUM, Run, grams, mixed, runs
 
@@ -252,7 +253,7 @@ def contamination(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` without a word inside a benchmark window."""
-    bad = contamination(docs, items, text, doc_id).where("contaminated").select("doc_id", "th").distinct()
-    body = F.col(f"d.`{text}`").cast("string")
-    same = [F.col(f"d.`{doc_id}`").eqNullSafe(F.col("b.doc_id")), F.xxhash64(body) == F.col("b.th")]
-    return docs.alias("d").join(bad.alias("b"), same, "left_anti")
+    bad = contamination(docs, items, text, doc_id).where("contaminated").select(F.struct("doc_id", "th").alias("key"))
+    bad = Scratch(docs.sparkSession, "contaminated").written(bad, "contaminated")
+    key = F.struct(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("th"))
+    return without(docs, bad, key)

@@ -14,6 +14,7 @@ at most, so it can be broadcast. Priors are joined to rows that hold no text any
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldtally.llm.membership import without
 from fieldtally.llm.scratch import Scratch
 from fieldtally.llm.words import LOWER, RUN_BYTES, texts_of
 
@@ -31,7 +33,6 @@ TEXT_WEIGHT = 0.1
 DECLARED_RIGHT = 0.9
 SMOOTHING = 50.0  #: rows that a prior one level up counts for
 MIN_POSTERIOR = 0.6
-OUTLIER = 8.0  #: standard deviations below its language's mean that a text's likelihood may lie
 
 _LETTERS = LOWER.copy()
 _LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
@@ -100,7 +101,7 @@ def identify(
     """Rows (doc_id, declared, n_trigrams, lang, posterior, kept), one per row of ``docs``.
 
     ``kept`` is false where no language reaches ``MIN_POSTERIOR``, where the text has no letters (NULL, empty,
-    blank, symbols), and where its likelihood lies ``OUTLIER`` standard deviations under its language's mean.
+    blank, symbols), and where its trigrams are likelier by pure chance than in the language found.
     Unknown declared languages, and NULL hosts and suffixes, count as missing. Of tied languages the
     first in ``languages`` wins. An empty table gives no rows; repeated rows get equal answers.
     """
@@ -148,12 +149,6 @@ def identify(
     by_host = shares(["host", "suffix"], base).where("host is not null")
     by_host = by_host.join(by_suffix, "suffix", "left")
     by_host = by_host.select("host", F.col("suffix").alias("host_suffix"), smoothed(F.col("c"), F.coalesce("suffix_prior", base)).alias("host_prior"))
-    spread = scored.where("n > 0").select(best(F.col("ll")).alias("g"), (F.array_max("ll") / F.col("n")).alias("x"))
-    spread = spread.groupBy("g").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("sd")).collect()  # a row per language
-    floor = F.lit(float("-inf"))
-    for r in spread:
-        floor = F.when(F.col("g") == r["g"], r["mean"] - OUTLIER * r["sd"]).otherwise(floor)
-
     hosts = scratch.written(by_host, "hosts").alias("h")
     suffixes = scratch.written(by_suffix, "suffixes").withColumnRenamed("suffix", "known_suffix")
     joined = scored.join(hosts, (scored["host"] == F.col("h.host")) & scored["suffix"].eqNullSafe(F.col("h.host_suffix")), "left")
@@ -165,7 +160,7 @@ def identify(
     joined = joined.withColumn("logs", F.transform(F.arrays_zip(F.col("ll").alias("l"), prior.alias("p"), claim.alias("c")), lambda x: x["l"] * TEXT_WEIGHT + F.log(x["p"]) + F.log(x["c"])))
     joined = joined.withColumn("top", F.array_max("logs")).withColumn("g", best(F.col("logs")))
     joined = joined.withColumn("posterior", 1 / F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
-    fits = (F.col("n") > 0) & (F.col("posterior") >= MIN_POSTERIOR) & (F.element_at("ll", F.col("g")) / F.greatest(F.col("n"), F.lit(1)) >= floor)
+    fits = (F.col("n") > 0) & (F.col("posterior") >= MIN_POSTERIOR) & (F.element_at("ll", F.col("g")) >= F.col("n") * math.log(1 / BUCKETS))
     return joined.select(
         "doc_id", "declared", F.col("n").alias("n_trigrams"), F.when(F.col("n") > 0, F.element_at(names, F.col("g"))).alias("lang"),
         F.when(F.col("n") > 0, F.col("posterior")).alias("posterior"), F.coalesce(fits, F.lit(False)).alias("kept"),
@@ -174,9 +169,6 @@ def identify(
 
 def keep_identified(docs: DataFrame, text: Column, doc_id: Column, **evidence: Column) -> DataFrame:
     """The rows of ``docs`` whose language is told; rows alike in id, evidence and text share their fate."""
-    body = F.xxhash64(text.cast("string"), *evidence.values())
-    marked = docs.withColumn("langid_key", F.struct(doc_id.alias("id"), body.alias("h")))
-    told = identify(marked, text, F.col("langid_key"), **evidence)
-    bad = told.where("not kept").select(F.col("doc_id").alias("langid_bad")).distinct()
-    bad = Scratch(docs.sparkSession, "langid-rejected").written(bad, "rejected")
-    return marked.join(bad, F.col("langid_key").eqNullSafe(F.col("langid_bad")), "left_anti").drop("langid_key")
+    key = F.struct(doc_id.alias("id"), F.xxhash64(text.cast("string"), *evidence.values()).alias("h"))
+    bad = identify(docs, text, key, **evidence).where("not kept").select("doc_id")
+    return without(docs, Scratch(docs.sparkSession, "langid-rejected").written(bad, "rejected"), key)

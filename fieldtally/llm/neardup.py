@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.components import components
+from fieldtally.llm.membership import maybe_in, without
 from fieldtally.llm.scratch import Scratch, as_structs
 from fieldtally.llm.words import SPACED, grams, grams_inside, mixed, runs
 
@@ -243,8 +244,10 @@ class Forest:
     def merge(self, pairs: DataFrame) -> None:
         """Confirms ``pairs`` on full sets and merges what they link."""
         pairs = self.scratch.written(pairs, "pairs")
-        one = self.texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a"))
-        two = self.texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b"))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("rid"))
+        texts = self.texts.where(maybe_in(ends, "rid", F.col("rid")))
+        one = texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a"))
+        two = texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b"))
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
         found = self.scratch.written(full.mapInArrow(_confirm, "a long, b long"), "links")
         if self.links is not None and found.isEmpty():
@@ -274,15 +277,8 @@ class Forest:
             depth, levels, first = depth + levels, depth, False
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = 7) -> DataFrame:
-    """Rows (doc: the input row, n_shingles, component_id, kept, keeper, n_links), one per input row.
-
-    ``component_id`` is the smallest id reachable over links, ``kept`` says whether the row has
-    that id, and ``keeper`` is true for exactly one row of each component. ``n_links`` counts the
-    confirmed links of the row's class; equal texts add none. NULL, empty and blank texts have no
-    shingles and stay alone. Rows with the same id are documents of their own; the smallest id ignores
-    NULL ids. An empty table gives an empty one. Other columns pass through untouched.
-    """
+def labelled(docs: DataFrame, text: str, doc_id: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` as written, (rid, doc), and what is found of each, (rid, n_shingles, component_id, kept, keeper, n_links)."""
     scratch = Scratch(docs.sparkSession, "neardup")
     rows = as_structs(docs).withColumn("rid", F.monotonically_increasing_id())
     rows = scratch.written(rows, "rows")
@@ -324,9 +320,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         "rid", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"),
         (F.coalesce("keeper_rid", "rid") == F.col("rid")).alias("keeper"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
-    return rows.join(scratch.written(labels, "labels"), "rid").drop("rid")
+    return rows, scratch.written(labels, "labels")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = 7) -> DataFrame:
+    """Rows (doc: the input row, n_shingles, component_id, kept, keeper, n_links), one per input row.
+
+    ``component_id`` is the smallest id reachable over links, ``kept`` says whether the row has
+    that id, and ``keeper`` is true for exactly one row of each component. ``n_links`` counts the
+    confirmed links of the row's class; equal texts add none. NULL, empty and blank texts have no
+    shingles and stay alone. Rows with the same id are documents of their own; the smallest id ignores
+    NULL ids. An empty table gives an empty one. Other columns pass through untouched.
+    """
+    rows, labels = labelled(docs, text, doc_id, seed)
+    return rows.join(labels, "rid").drop("rid")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = 7) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, every row without words."""
-    return near_duplicates(docs, text, doc_id).where("keeper").select("doc.*")
+    rows, labels = labelled(docs, text, doc_id, seed)
+    return without(rows, labels.where("not keeper").select("rid"), F.col("rid")).select("doc.*")

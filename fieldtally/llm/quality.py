@@ -27,7 +27,7 @@ LANGUAGES = ("en", "de", "fr", "es")
 COMMON = 0.002
 MIN_WORDS = 60
 MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.55
+MAX_WORD_DISTANCE = 0.48
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 8
 LEAST_WORDS = 20

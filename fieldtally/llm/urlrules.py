@@ -19,6 +19,7 @@ from fieldtally.llm.scratch import Scratch
 #: (host, path, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 MIN_SUPPORT = 0.005  #: share of the labelled URLs that have the tokens and a bad label
+LEAST_URLS = 20  #: and at least so many of them, since a few URLs prove nothing
 MIN_CONFIDENCE = 0.5
 BAD = "label:bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,9 +69,10 @@ def mined_rules(labelled: DataFrame, scratch: Scratch, min_support: float = MIN_
     items = labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
     items = scratch.written(items.where(F.size("items") > 0), "transactions")
     schema = "key string, tokens array<string>, confidence double, support double"
-    if items.isEmpty():
+    n = items.count()
+    if not n:
         return items.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, LEAST_URLS / n)), minConfidence=min_confidence).fit(items)
     rules = model.associationRules.where(F.element_at("consequent", 1) == BAD)
     rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     single = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
