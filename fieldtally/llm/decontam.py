@@ -254,6 +254,7 @@ def contamination(
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` without a word inside a benchmark window."""
     bad = contamination(docs, items, text, doc_id).where("contaminated").select(F.struct("doc_id", "th").alias("key"))
-    bad = Scratch(docs.sparkSession, "contaminated").written(bad, "contaminated")
+    scratch = Scratch(docs.sparkSession, "contaminated")
+    bad = scratch.written(bad, "contaminated")
     key = F.struct(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`").cast("string")).alias("th"))
-    return without(docs, bad, key)
+    return without(docs, bad, key, scratch)

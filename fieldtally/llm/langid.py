@@ -171,4 +171,5 @@ def keep_identified(docs: DataFrame, text: Column, doc_id: Column, **evidence: C
     """The rows of ``docs`` whose language is told; rows alike in id, evidence and text share their fate."""
     key = F.struct(doc_id.alias("id"), F.xxhash64(text.cast("string"), *evidence.values()).alias("h"))
     bad = identify(docs, text, key, **evidence).where("not kept").select("doc_id")
-    return without(docs, Scratch(docs.sparkSession, "langid-rejected").written(bad, "rejected"), key)
+    scratch = Scratch(docs.sparkSession, "langid-rejected")
+    return without(docs, scratch.written(bad, "rejected"), key, scratch)

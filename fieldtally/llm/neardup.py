@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.components import components
-from fieldtally.llm.membership import maybe_in, without
+from fieldtally.llm.membership import SUSPECT, marked, without
 from fieldtally.llm.scratch import Scratch, as_structs
 from fieldtally.llm.words import SPACED, grams, grams_inside, mixed, runs
 
@@ -245,7 +245,7 @@ class Forest:
         """Confirms ``pairs`` on full sets and merges what they link."""
         pairs = self.scratch.written(pairs, "pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("rid"))
-        texts = self.texts.where(maybe_in(ends, "rid", F.col("rid")))
+        texts = marked(self.texts, ends, "rid", F.col("rid"), self.scratch).where(SUSPECT)
         one = texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a"))
         two = texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b"))
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
@@ -277,7 +277,7 @@ class Forest:
             depth, levels, first = depth + levels, depth, False
 
 
-def labelled(docs: DataFrame, text: str, doc_id: str, seed: int) -> tuple[DataFrame, DataFrame]:
+def labelled(docs: DataFrame, text: str, doc_id: str, seed: int) -> tuple[DataFrame, DataFrame, Scratch]:
     """The rows of ``docs`` as written, (rid, doc), and what is found of each, (rid, n_shingles, component_id, kept, keeper, n_links)."""
     scratch = Scratch(docs.sparkSession, "neardup")
     rows = as_structs(docs).withColumn("rid", F.monotonically_increasing_id())
@@ -320,7 +320,7 @@ def labelled(docs: DataFrame, text: str, doc_id: str, seed: int) -> tuple[DataFr
         "rid", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"),
         (F.coalesce("keeper_rid", "rid") == F.col("rid")).alias("keeper"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
-    return rows, scratch.written(labels, "labels")
+    return rows, scratch.written(labels, "labels"), scratch
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = 7) -> DataFrame:
@@ -332,11 +332,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     shingles and stay alone. Rows with the same id are documents of their own; the smallest id ignores
     NULL ids. An empty table gives an empty one. Other columns pass through untouched.
     """
-    rows, labels = labelled(docs, text, doc_id, seed)
+    rows, labels, _scratch = labelled(docs, text, doc_id, seed)
     return rows.join(labels, "rid").drop("rid")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = 7) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, every row without words."""
-    rows, labels = labelled(docs, text, doc_id, seed)
-    return without(rows, labels.where("not keeper").select("rid"), F.col("rid")).select("doc.*")
+    rows, labels, scratch = labelled(docs, text, doc_id, seed)
+    return without(rows, labels.where("not keeper").select("rid"), F.col("rid"), scratch).select("doc.*")
