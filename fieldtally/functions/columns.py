@@ -45,21 +45,18 @@ def in_zone(zone: Zone, x: Column, y: Column) -> Column:
 
 
 def zone_mask(zones: Sequence[Zone], x: Column, y: Column) -> Column:
-    """One bit per zone, so that any number of zones travels as one LONG."""
-    none = F.lit(0).cast("long")
-    mask = none
-    for position, zone in enumerate(zones):
-        mask = mask.bitwiseOR(F.when(in_zone(zone, x, y), F.lit(1 << position).cast("long")).otherwise(none))
-    return mask
+    """One flag per zone, for any number of zones."""
+    return F.array(*[in_zone(zone, x, y) for zone in zones])
 
 
 def left_zones(before: Column, now: Column) -> Column:
-    """Bits of the zones the object was in ``before`` and is not in ``now``."""
-    return F.coalesce(before, F.lit(0).cast("long")).bitwiseAND(F.bitwise_not(now))
+    """Flags of the zones the object was in ``before`` and is not in ``now``; none without a ``before``."""
+    return F.coalesce(F.zip_with(before, now, lambda was, is_in: was & ~is_in), F.transform(now, lambda _: F.lit(False)))
 
 
 def bit(mask: Column, position: int) -> Column:
-    return F.shiftright(mask, position).bitwiseAND(F.lit(1).cast("long"))
+    """1 where the flag at ``position`` is set, else 0."""
+    return F.coalesce(F.get(mask, F.lit(position)).cast("long"), F.lit(0).cast("long"))
 
 
 def distance(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:

@@ -13,8 +13,8 @@ moves nothing but its messages:
   shuffle, so a vertex with a third of all incoming edges costs one row per task.
 
 A source with more than ``hot_degree`` edges is salted: its edges spread over many buckets
-and its frontier row is repeated once per salt. At most ``MAX_HOT`` sources are salted, which
-bounds the broadcast list; any other source then has fewer edges than each of those.
+and its frontier row is repeated once per salt. E edges have at most E / ``hot_degree`` such sources;
+Spark picks the join with them by their measured size.
 """
 
 from __future__ import annotations
@@ -24,11 +24,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.workspace import new_run_dir, partitions_for, sized_session
+from fieldtally.workspace import new_run_dir, shuffle_partitions, sized_session
 
-MAX_HOT = 10_000
 HOT_DEGREE = 1_000_000
-SMALL_FRONTIER = 1_000
 HOT_SCHEMA = "hot_src LONG, salts LONG"
 SETTLED_SCHEMA = "id LONG, parent LONG, hops INT"
 PATHS_SCHEMA = "id LONG, parent LONG, path ARRAY<LONG>, hops INT"
@@ -141,7 +139,7 @@ class _Search:
 def shortest_paths(
     edges: DataFrame,
     source: int,
-    max_hops: int = 200,
+    max_hops: int | None = None,
     directed: bool = True,
     with_path: bool = True,
     hot_degree: int = HOT_DEGREE,
@@ -154,11 +152,10 @@ def shortest_paths(
     smallest parent id is kept, so the result does not depend on the order of rows.
 
     The search runs when called: a driver loop over Spark jobs that ends when a superstep
-    settles nothing or after ``max_hops``. The driver holds counts, and the ids of frontiers of
-    at most ``SMALL_FRONTIER`` vertices. The returned frame
-    reads the settled table, which stays in the shared folder like a checkpoint; the edge
-    copy is dropped. The bucket count grows with the edges up to the session's
-    ``spark.sql.shuffle.partitions``.
+    settles nothing. A caller's ``max_hops`` may end it earlier; the column ``complete`` is false
+    in every row if vertices were left to expand then, and true otherwise. The driver holds counts
+    only. The returned frame reads the settled table, which stays in the shared folder like a
+    checkpoint; the edge copy is dropped. Tables have ``spark.sql.shuffle.partitions`` buckets.
     """
     spark = edges.sparkSession
     folder = new_run_dir(spark, "shortest-paths")
@@ -167,14 +164,16 @@ def shortest_paths(
     usable = _usable(edges if directed else both_directions(edges))
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/work'")
     try:
-        number_of_edges = _list_hot_sources(usable, f"{folder}/hot", hot_degree)
-        buckets = partitions_for(spark, number_of_edges)
+        _list_hot_sources(usable, f"{folder}/hot", hot_degree)
+        buckets = shuffle_partitions(spark)
         # the layout fixes every partition and join partner of a superstep, so there is nothing
         # to adapt while it runs, and each level is spared the planning
         session = sized_session(spark, buckets, spark__sql__adaptive__enabled="false")
         work = _Search(session, folder, database, buckets)
         salted = _store_edges(work, usable)
-        depth = _search(work, vertices(edges), source, max_hops, salted)
+        vertices(edges).write.parquet(f"{folder}/vertices")
+        everything = spark.read.schema("id LONG").parquet(f"{folder}/vertices")
+        depth, complete = _search(work, everything, source, max_hops, salted)
         if with_path:
             _build_paths(spark, work, depth)
     finally:
@@ -186,27 +185,22 @@ def shortest_paths(
         reached = spark.read.schema(PATHS_SCHEMA).parquet(work.paths_path)
     else:
         reached = spark.read.schema(SETTLED_SCHEMA).parquet(work.settled_path)
-    return vertices(edges).join(reached, "id", "left").select("id", *columns)
+    return everything.join(reached, "id", "left").select("id", *columns, F.lit(complete).alias("complete"))
 
 
 def _usable(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
 
 
-def _list_hot_sources(edges: DataFrame, path: str, hot_degree: int) -> int:
-    """Writes the sources to salt, the largest first; returns the number of edges."""
-    seen = Observation()
+def _list_hot_sources(edges: DataFrame, path: str, hot_degree: int) -> None:
+    """Writes the sources to salt with their numbers of salts."""
     (
         edges.groupBy("src")
         .agg(F.count(F.lit(1)).alias("degree"))
-        .observe(seen, F.sum("degree").alias("edges"))
         .where(F.col("degree") > hot_degree)
-        .orderBy(F.desc("degree"), "src")
-        .limit(MAX_HOT)
         .select(F.col("src").alias("hot_src"), F.ceil(F.col("degree") / hot_degree).alias("salts"))
         .write.parquet(path)
     )
-    return seen.get["edges"] or 0
 
 
 def _store_edges(work: _Search, edges: DataFrame) -> bool:
@@ -219,51 +213,39 @@ def _store_edges(work: _Search, edges: DataFrame) -> bool:
         hot = listed.withColumn("salts", F.least("salts", F.lit(work.buckets)).cast("int"))
         hot.write.saveAsTable(work.hot)
         salt = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")
-        edges = edges.join(F.broadcast(hot), F.col("src") == F.col("hot_src"), "left").select("src", "dst", salt)
+        edges = edges.join(hot, F.col("src") == F.col("hot_src"), "left").select("src", "dst", salt)
     edges.repartition(work.buckets, *keys).write.bucketBy(work.buckets, *keys).sortBy(*keys).saveAsTable(work.edges)
     return salted
 
 
-def _search(work: _Search, all_vertices: DataFrame, source: int, max_hops: int, salted: bool) -> int:
+def _search(work: _Search, all_vertices: DataFrame, source: int, max_hops: int | None, salted: bool) -> tuple[int, bool]:
     """Appends one level after another; returns the number of the last one with a vertex,
-    or -1 when the source is not in the graph."""
+    or -1 when the source is not in the graph, and whether nothing was left to expand."""
     start = all_vertices.where(F.col("id") == source).select("id", F.lit(None).cast("long").alias("parent"))
     active, hops = work.append_settled(start, 0), 0
-    while active and hops < max_hops:
-        fresh = _superstep(work, hops, active, salted)
+    while active and (max_hops is None or hops < max_hops):
+        active = work.append_settled(_superstep(work, hops, salted), hops + 1)
         hops += 1
-        active = work.append_settled(fresh, hops)
-    return hops if active else hops - 1
+    return (hops, False) if active else (hops - 1, True)
 
 
-def _superstep(work: _Search, hops: int, active: int, salted: bool) -> DataFrame:
-    """Vertices first reached from the ``active`` vertices of level ``hops``.
+def _superstep(work: _Search, hops: int, salted: bool) -> DataFrame:
+    """Vertices first reached from level ``hops``.
 
     The one shuffle is that of the messages (with salted sources also that of the frontier).
     """
-    if active <= SMALL_FRONTIER:
-        met = _edges_of_few(work, hops)
-    else:
-        met = _edges_of_frontier(work, hops, salted)
     return work.spark.sql(f"""
         SELECT dst AS id, parent
-        FROM (SELECT dst, min(src) AS parent FROM ({met}) GROUP BY dst)
+        FROM (SELECT dst, min(src) AS parent FROM ({_edges_of_frontier(work, hops, salted)}) GROUP BY dst)
         LEFT ANTI JOIN {work.settled} s ON s.id = dst""")
 
 
-def _edges_of_few(work: _Search, hops: int) -> str:
-    """Edges of a frontier of at most ``SMALL_FRONTIER`` ids, named in the query: the scan
-    then reads only their buckets and row groups instead of all edges."""
-    ids = ", ".join(str(row["id"]) for row in work.level(hops).select("id").collect())
-    return f"SELECT src, dst FROM {work.edges} WHERE src IN ({ids})"
-
-
 def _edges_of_frontier(work: _Search, hops: int, salted: bool) -> str:
     frontier = f"SELECT id FROM {work.settled} WHERE hops = {hops}"
     same = "e.src = f.id"
     if salted:
         frontier = f"""
-            SELECT /*+ BROADCAST(h) */ id, explode(sequence(0, coalesce(salts, 1) - 1)) AS salt
+            SELECT id, explode(sequence(0, coalesce(salts, 1) - 1)) AS salt
             FROM ({frontier}) LEFT JOIN {work.hot} h ON hot_src = id"""
         same = "e.src = f.id AND e.salt = f.salt"
     return f"SELECT e.src, e.dst FROM ({frontier}) f JOIN {work.edges} e ON {same}"

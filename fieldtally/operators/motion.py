@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldtally.functions import Zone, bit, distance, in_zone, left_zones, zone_mask
-from fieldtally.operators.ordered import MAX_ROWS, PIECE, across_pieces, cut, in_piece, micros, slice_of, with_previous
+from fieldtally.operators.ordered import PIECE, across_pieces, cut, in_piece, micros, slice_of, with_previous
 
 ORDER = ("ts", "seq")
 SLICES_PER_WINDOW = 16
@@ -49,7 +49,6 @@ def zone_exits(
     zones: Sequence[Zone],
     width: str = "1 minute",
     scope: str = "per_entity",
-    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """How often an object leaves each zone, per tumbling window.
 
@@ -67,7 +66,7 @@ def zone_exits(
         start, *keys[1:], *ORDER, zone_mask(zones, F.col("x"), F.col("y")).alias("mask")
     ).where(F.col("ts").isNotNull())
     slices = slice_of(F.col("ts"), max(1, size // SLICES_PER_WINDOW))
-    pieces = cut(rows, keys, ORDER, slices, max_rows)
+    pieces = cut(rows, keys, ORDER, slices)
     inside = in_piece(keys, ORDER)
     steps = pieces.select(
         *keys, *PIECE, "mask", F.lag("mask").over(inside).alias("before"), F.lead("mask").over(inside).alias("after")
@@ -98,11 +97,9 @@ def rollup_exits(exits: DataFrame, width: str = "10 hours") -> DataFrame:
     )
 
 
-def step_distances(
-    positions: DataFrame, keys: Sequence[str] = (), slice_width: str = "1 minute", max_rows: int = MAX_ROWS
-) -> DataFrame:
+def step_distances(positions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Every position with the distance to the one before it as ``step`` (0 for the first)."""
-    before = with_previous(positions, keys, ORDER, ["x", "y"], slice_of(F.col("ts"), micros(slice_width)), max_rows)
+    before = with_previous(positions, keys, ORDER, ["x", "y"])
     step = distance(F.col("previous_x"), F.col("previous_y"), F.col("x"), F.col("y"))
     return before.withColumn("step", step).drop("previous_x", "previous_y")
 
@@ -112,7 +109,6 @@ def avg_step(
     size: str = "5 minutes",
     slide: str = "1 minute",
     keys: Sequence[str] = (),
-    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Mean step length per sliding window.
 
@@ -125,7 +121,7 @@ def avg_step(
     rows = positions.select(*keys, *ORDER, F.col("x").cast("double"), F.col("y").cast("double")).where(
         F.col("ts").isNotNull()
     )
-    pieces = cut(rows, keys, ORDER, slice_of(F.col("ts"), pane), max_rows)
+    pieces = cut(rows, keys, ORDER, slice_of(F.col("ts"), pane))
     inside = in_piece(keys, ORDER)
     steps = pieces.select(
         *keys,

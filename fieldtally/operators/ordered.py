@@ -1,27 +1,26 @@
 """Time order at scale: cutting ordered groups into pieces that fit one task.
 
 "The previous row" needs sorted rows, and a plain window function sorts a whole group in one
-task: a window, or an entity, with a third of all rows would stop the job. Here a group is
-cut into pieces along its order. A piece is normally a fixed slice of time. Slices with more
-than ``MAX_ROWS`` rows are found with a count (partial aggregates only) and cut further by
-range partitioning on the full order, which splits even rows of one and the same instant.
-What crosses the border between pieces is repaired afterwards from one row per piece.
+task: a window, or an entity, with a third of all rows would stop the job. Here all rows, whatever
+their number, are range-partitioned once on the full order, which splits groups of any size, even rows of
+one and the same instant, into even parts. A piece is what one part has of one group (and of one slice
+of time, where slices matter). What crosses the border between pieces is repaired afterwards from one
+row per piece.
+
+The borders of the parts come from a sample, so two evaluations may cut differently. Pieces that are used
+once may stay in the plan; for a second use they are written to the shared folder first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldtally.workspace import shuffle_partitions
+from fieldtally.workspace import new_run_dir, shuffle_partitions
 
-MAX_ROWS = 1_000_000
-MAX_HOT = 10_000
 PIECE = ("_slice", "_part")
 
 
@@ -44,35 +43,15 @@ def slice_of(ts: Column, width: int) -> Column:
     return instant - F.pmod(instant, F.lit(width).cast("long"))
 
 
-def cut(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], slice_column: Column, max_rows: int = MAX_ROWS
-) -> DataFrame:
-    """Adds the piece columns ``_slice`` and ``_part`` to ``rows``.
+def cut(rows: DataFrame, keys: Sequence[str], order: Sequence[str], slice_column: Column) -> DataFrame:
+    """Adds the piece columns ``_slice`` and ``_part`` to ``rows``, for one use of the result.
 
     Within one combination of ``keys`` the pieces are contiguous in ``order`` and sorted by
-    (``_slice``, ``_part``). ``slice_column`` must not decrease along ``order``. The list of
-    slices to cut is broadcast: it has at most ``MAX_HOT`` rows, the fullest first, and a
-    slice beyond those is left whole but holds less than one part in ``MAX_HOT`` of the rows.
-    When no slice is too full, AQE drops the second branch before it scans anything.
+    (``_slice``, ``_part``). ``slice_column`` must not decrease along ``order``.
     """
     rows = rows.withColumn("_slice", slice_column)
-    group = [*keys, "_slice"]
-    hot = (
-        rows.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > max_rows)
-        .orderBy(F.desc("_rows"), *group)
-        .limit(MAX_HOT)
-        .select(*[F.col(name).alias(f"_hot_{name}") for name in group])
-    )
-    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_hot_{name}")) for name in group])
-    normal = rows.join(F.broadcast(hot), same, "left_anti").withColumn("_part", F.lit(0))
-    full = (
-        rows.join(F.broadcast(hot), same, "left_semi")
-        .repartitionByRange(shuffle_partitions(rows.sparkSession), *group, *order)
-        .withColumn("_part", F.spark_partition_id())
-    )
-    return normal.unionByName(full)
+    parts = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *keys, "_slice", *order)
+    return parts.withColumn("_part", F.spark_partition_id())
 
 
 def in_piece(keys: Sequence[str], order: Sequence[str]) -> W:
@@ -84,21 +63,19 @@ def across_pieces(keys: Sequence[str]) -> W:
     return W.partitionBy(*keys).orderBy(*PIECE)
 
 
-def with_previous(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    carry: Sequence[str],
-    slice_column: Column,
-    max_rows: int = MAX_ROWS,
-) -> DataFrame:
+def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str]) -> DataFrame:
     """Every row with the ``carry`` columns of the row before it in its group.
 
     The earlier values are named ``previous_<column>`` and are NULL in the first row. Each
     piece gets a copy of the last row of the piece before it, so that one pass over the piece
-    is enough; the copies are dropped again. They are found with partial aggregates.
+    is enough; the copies are dropped again. They are found with partial aggregates. The pieces are
+    written below the shared folder when called, because both uses need the same ones.
     """
-    pieces = cut(rows, keys, order, slice_column, max_rows)
+    spark = rows.sparkSession
+    pieces = cut(rows, keys, order, F.lit(0).cast("long"))
+    folder = new_run_dir(spark, "pieces")
+    pieces.write.parquet(folder)
+    pieces = spark.read.schema(pieces.schema).parquet(folder)
     kept = [name for name in pieces.columns if name not in PIECE]
     needed = list(dict.fromkeys([*order, *carry]))
     last = pieces.groupBy(*keys, *PIECE).agg(F.max(F.struct(*needed)).alias("_last"))

@@ -93,6 +93,13 @@ best AS (
   FROM windows)
 """
 
+# positions as they come back from text: x in whole hundredths, ties in the order of the ids
+_FILED = """
+SELECT ts, CAST(epoch_us(ts) AS HUGEINT) * 1000000 + event_id AS seq, event_type AS entity, round(value * 100) / 100 AS x,
+       CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) AS y
+FROM events
+"""
+
 _AVG_STEP = f"{_WINDOWS} SELECT window_start, window_end, round(avg_step, 6) AS avg_step FROM windows"
 _BEST = (
     f"{_WINDOWS} SELECT window_start, window_end, best_start, best_start + INTERVAL '5 days' AS best_end, "
@@ -123,10 +130,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "q09_customers_without_orders": (
             "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS "
-            "(SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')"
+            "(SELECT 1 FROM events WHERE user_id = c_custkey)"
         ),
         "q10_order_existence": (
-            "SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') "
+            "SELECT c_custkey, EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey) "
             "AS has_order FROM customer"
         ),
         "q11_graph_vertices": f"WITH edges AS ({_EDGES}) {_VERTICES}",
@@ -180,4 +187,12 @@ def oracle_sql() -> dict[str, str]:
                    CAST(round(value * 100) AS INTEGER) AS x,
                    CAST(json_extract_string(props, '$.k') AS INTEGER) AS y, CAST(0 AS INTEGER) AS z FROM events""",
         "q35_tagged_files": _AVG.format(op=">="),
+        "q36_paths_report_file": f"""{_PATHS}
+            SELECT CAST(0 AS BIGINT) AS source, v.id AS dest, coalesce(t.path, '') AS path,
+                   coalesce(CAST(t.hops AS VARCHAR), 'Inf') AS cost
+            FROM vertices v LEFT JOIN trail t ON t.id = v.id""",
+        "q37_file_stream_exits_csv": _TOTAL.replace(_POSITIONS, _FILED),
+        "q38_live_best_window": f"""{_WINDOWS.replace(_POSITIONS, _FILED)}
+            SELECT window_start, window_end, round(avg_step, 6) AS avg_step FROM windows
+            ORDER BY windows.avg_step DESC, window_start LIMIT 1""",
     }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldtally.functions import cost_text, path_text
-from fieldtally.workspace import new_run_dir
+from fieldtally.workspace import exists, new_run_dir
 
 
 def write_table(
@@ -60,23 +60,16 @@ def write_stream(
 ) -> StreamingQuery:
     """Starts a streaming query that keeps its result in files below ``path``.
 
-    In the normal form finished windows are appended through the transactional file sink.
-    ``replace`` rewrites ``path`` with each non-empty batch instead: for results whose last
-    batch is the whole answer, such as one total per zone.
+    Finished windows are appended through the transactional file sink. With ``replace`` what lies below
+    ``path`` is cleared once, when the query starts for the first time (its checkpoint is new);
+    a query that goes on from its checkpoint keeps what it has written.
     """
-    checkpoint = checkpoint or new_run_dir(result.sparkSession, "stream")
+    spark = result.sparkSession
+    checkpoint = checkpoint or new_run_dir(spark, "stream")
+    if replace and not exists(spark, f"{checkpoint}/metadata"):
+        spark.createDataFrame([], result.schema).write.format(fmt).options(**options).mode("overwrite").save(path)
     writer = result.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    if not replace:
-        return writer.format(fmt).options(**options).option("path", path).start()
+    return writer.format(fmt).options(**options).option("path", path).start()
 
-    def rewrite(batch: DataFrame, _batch_id: int) -> None:
-        batch.persist()  # two actions below must not run the stateful plan twice
-        try:
-            if not batch.isEmpty():
-                batch.write.format(fmt).options(**options).mode("overwrite").save(path)
-        finally:
-            batch.unpersist()
-
-    return writer.foreachBatch(rewrite).start()

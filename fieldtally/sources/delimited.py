@@ -7,6 +7,7 @@ fails on a malformed line by default; ``mode="PERMISSIVE"`` keeps such lines in
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -77,7 +78,7 @@ def is_table_file(name: str) -> Column:
     The comparison ignores case. It uses the scan's file metadata only, so files of other
     tables are skipped when the files are listed, not read and thrown away.
     """
-    pattern = "(^|/)" + name.lower().replace(".", "[.]") + "(/[^/]*)?$"
+    pattern = "(^|/)" + re.sub(r"([^A-Za-z0-9_])", r"[\1]", name.lower()).replace("[^]", "\\^").replace("[\\]", "\\\\") + "(/[^/]*)?$"
     return F.lower(F.col("_metadata.file_path")).rlike(pattern)
 
 

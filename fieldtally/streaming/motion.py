@@ -20,7 +20,7 @@ from fieldtally.functions import Zone, bit, distance, left_zones, zone_mask
 from fieldtally.operators.motion import SLICES_PER_WINDOW, best_window, zone_rows
 from fieldtally.operators.ordered import micros
 from fieldtally.streaming.runner import END_OF_INPUT
-from fieldtally.workspace import new_run_dir
+from fieldtally.workspace import drop_older, exists, new_run_dir
 
 
 def span(length: int) -> str:
@@ -120,23 +120,29 @@ def stream_avg_step(
     positions: DataFrame,
     size: str = "5 minutes",
     slide: str = "1 minute",
+    keys: Sequence[str] = (),
     entities: Sequence | None = None,
     slice_width: str | None = None,
     delay: str = "0 seconds",
 ) -> DataFrame:
-    """Mean step length per sliding window; same rows as ``avg_step``."""
+    """Mean step length per sliding window; same rows as ``avg_step``.
+
+    Slices combine into panes (the common divisor of size and slide), and only panes are copied into
+    overlapping windows. One array holds the rows of a key in one slice: choose ``slice_width`` for the rate.
+    """
     pane = gcd(micros(size), micros(slide))
     piece = gcd(pane, micros(slice_width) if slice_width else max(1, pane // SLICES_PER_WINDOW))
-    zero = F.lit(0.0)
+    keys, zero = list(keys), F.lit(0.0)
     rows = (
         chosen(positions, entities)
-        .select("ts", "seq", F.col("x").cast("double"), F.col("y").cast("double"))
+        .select(*keys, "ts", "seq", F.col("x").cast("double"), F.col("y").cast("double"))
         .withWatermark("ts", delay)
     )
-    slices = rows.groupBy(F.window("ts", span(piece)).alias("slice")).agg(in_order("ts", "seq", "x", "y").alias("rows"))
+    slices = rows.groupBy(F.window("ts", span(piece)).alias("slice"), *keys).agg(in_order("ts", "seq", "x", "y").alias("rows"))
     steps = pairs(F.col("rows"), lambda a, b: distance(a["x"], a["y"], b["x"], b["y"]))
     slices = slices.select(
         "slice",
+        *keys,
         F.struct(
             F.col("slice.start").alias("at"),
             F.size("rows").cast("long").alias("n"),
@@ -145,19 +151,28 @@ def stream_avg_step(
             F.element_at("rows", -1).alias("last"),
         ).alias("piece"),
     )
-    windows = slices.groupBy(F.window("slice", span(micros(size)), span(micros(slide))).alias("win")).agg(
-        F.array_sort(F.collect_list("piece")).alias("pieces")
-    )
-    bridges = pairs(
-        F.col("pieces"), lambda a, b: distance(a["last"]["x"], a["last"]["y"], b["first"]["x"], b["first"]["y"])
-    )
-    walked = field_total("pieces", "inner", zero) + total(bridges, zero)
-    count = field_total("pieces", "n", F.lit(0).cast("long"))
+    panes = _joined(slices.groupBy(F.window("slice", span(pane)).alias("pane"), *keys)).select(
+        "pane",
+        *keys,
+        F.struct(
+            F.col("pane.start").alias("at"), "n", "inner", F.col("pieces")[0]["first"].alias("first"),
+            F.element_at("pieces", -1)["last"].alias("last"),
+        ).alias("piece"),
+    )
+    windows = _joined(panes.groupBy(F.window("pane", span(micros(size)), span(micros(slide))).alias("win"), *keys))
     return windows.select(
-        F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end"), (walked / count).alias("avg_step")
+        *keys, F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end"), (F.col("inner") / F.col("n")).alias("avg_step")
     )
 
 
+def _joined(grouped) -> DataFrame:
+    """Adds to each group its pieces in order, their rows ``n`` and the length ``inner`` of the way through them."""
+    rows = grouped.agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    bridges = pairs(F.col("pieces"), lambda a, b: distance(a["last"]["x"], a["last"]["y"], b["first"]["x"], b["first"]["y"]))
+    walked = field_total("pieces", "inner", F.lit(0.0)) + total(bridges, F.lit(0.0))
+    return rows.withColumn("inner", walked).withColumn("n", field_total("pieces", "n", F.lit(0).cast("long")))
+
+
 BEST_SCHEMA = "window_start TIMESTAMP, window_end TIMESTAMP, avg_step DOUBLE"
 
 
@@ -178,17 +193,22 @@ def track_best(
     """Starts a query that keeps the best of all windows a stream has finished.
 
     Each micro-batch records the best so far under its own batch number, so a repeated batch
-    replaces its own record and changes nothing else. Read it with ``read_best``.
+    replaces its own record and changes nothing else. It needs only the newest record before its own,
+    and older ones are dropped, so there are never more than three. Read it with ``read_best``.
     """
     spark = windows.sparkSession
     checkpoint = checkpoint or new_run_dir(spark, "best")
 
     def merge(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        session.createDataFrame([], BEST_SCHEMA).write.mode("overwrite").parquet(f"{path}/batch=-1")
-        recorded = session.read.schema(f"{BEST_SCHEMA}, batch LONG").parquet(path)
-        known = recorded.where(F.col("batch") < number).drop("batch")
+        if not exists(session, path):
+            session.createDataFrame([], BEST_SCHEMA).write.mode("overwrite").parquet(f"{path}/batch=-1")
+        earlier = session.read.schema(f"{BEST_SCHEMA}, batch LONG").parquet(path).where(F.col("batch") < number)
+        newest = earlier.agg(F.max("batch")).first()[0]
+        known = earlier.where(F.col("batch") == (-1 if newest is None else newest)).drop("batch")
         best_so_far(batch, known).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if newest is not None:
+            drop_older(session, path, "batch", newest)
 
     writer = windows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(merge)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -2,8 +2,9 @@
 
 Loops and streams cut their lineage by writing tables, never by holding data in
 executors, so a lost executor costs at most the running stage. The folder must be
-visible to the whole cluster: it is the one named by ``spark.checkpoint.dir``. Only
-when the session names none (unit tests on one machine) a local folder is used.
+visible to the whole cluster: it is the one named by ``spark.checkpoint.dir``. Where the
+session names none, a local master gets a local folder (unit tests) and any other master an error.
+Results may be read from a run's folder until the caller drops it with ``drop_run``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 SHUFFLE_SETTING = "spark.sql.shuffle.partitions"
-ROWS_PER_PARTITION = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that the whole cluster can see")
     return tempfile.gettempdir().rstrip("/") + "/fieldtally-checkpoints"
 
 
@@ -35,11 +37,31 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get(SHUFFLE_SETTING))
 
 
-def partitions_for(spark: SparkSession, rows: int) -> int:
-    """Partitions for a table of ``rows`` rows: one per core at least, the session's number
-    of shuffle partitions at most, and between them about ``ROWS_PER_PARTITION`` rows each."""
-    wanted = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_PARTITION))
-    return max(1, min(shuffle_partitions(spark), wanted))
+def drop_run(spark: SparkSession, path: str) -> None:
+    """Deletes a finished run's folder; only folders below the shared one are accepted."""
+    if not path.startswith(f"{shared_dir(spark)}/") or ".." in path:
+        raise ValueError(f"{path} is not a run folder")
+    files, target = _files(spark, path)
+    files.delete(target, True)
+
+
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _files(spark, path)
+    return files.exists(target)
+
+
+def drop_older(spark: SparkSession, path: str, column: str, least: int) -> None:
+    """Deletes the partitions of a table's whole-number ``column`` below ``least``."""
+    files, target = _files(spark, path)
+    for status in files.listStatus(target):
+        name, _, value = status.getPath().getName().partition("=")
+        if name == column and int(value) < least:
+            files.delete(status.getPath(), True)
 
 
 def sized_session(spark: SparkSession, partitions: int, **changes: str) -> SparkSession:

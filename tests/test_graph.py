@@ -74,6 +74,15 @@ def test_absent_source(spark):
 def test_max_hops(spark):
     result = graph.shortest_paths(frame(spark, TOY_EDGES), 17274, max_hops=1)
     assert {row[0]: row[1] for row in found(result)} == {17274: 0, 2: 1, 3: 1, 4: 1, 7: 1, 5: None, 6: None}
+    assert {row["complete"] for row in result.collect()} == {False}
+    whole = graph.shortest_paths(frame(spark, TOY_EDGES), 17274)
+    assert {row["complete"] for row in whole.collect()} == {True}
+
+
+def test_long_chain_is_followed_to_its_end(spark):
+    chain = [(n, n + 1) for n in range(203)]
+    result = graph.shortest_paths(frame(spark, chain), 0, with_path=False)
+    assert {row["id"]: row["hops"] for row in result.collect()} == {n: n for n in range(204)}
 
 
 def test_undirected(spark):
@@ -85,10 +94,8 @@ def test_empty_graph(spark):
     assert graph.shortest_paths(frame(spark, []), 1).count() == 0
 
 
-@pytest.mark.parametrize("small_frontier", [0, graph.SMALL_FRONTIER])
 @pytest.mark.parametrize("hot_degree", [graph.HOT_DEGREE, 20])
-def test_random_graph_with_a_hub(spark, monkeypatch, hot_degree, small_frontier):
-    monkeypatch.setattr(graph, "SMALL_FRONTIER", small_frontier)
+def test_random_graph_with_a_hub(spark, hot_degree):
     rng = random.Random(5)
     edges = [(rng.randrange(150), rng.randrange(150)) for _ in range(220)]
     edges += [(3, rng.randrange(300)) for _ in range(150)] + [(rng.randrange(150), 4) for _ in range(150)]
@@ -119,24 +126,22 @@ def test_paths_are_made_of_edges(spark):
 
 def test_plans_of_a_superstep(spark):
     """With broadcasts off, as at scale: edges and settled vertices are read where they lie,
-    messages are combined before their shuffle, and a small frontier is a filter of the scan."""
+    and messages are combined before their shuffle."""
     work = graph._Search(spark, graph.new_run_dir(spark, "plan"), "plan_search", 4)
     spark.sql(f"CREATE DATABASE {work.database} LOCATION '{work.folder}/work'")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         edges = frame(spark, TOY_EDGES)
-        assert graph._list_hot_sources(edges, f"{work.folder}/hot", graph.HOT_DEGREE) == 13
+        graph._list_hot_sources(edges, f"{work.folder}/hot", graph.HOT_DEGREE)
         assert not graph._store_edges(work, edges)
         work.append_settled(spark.createDataFrame([(17274, None)], "id LONG, parent LONG"), 0)
-        for active, joins in ((graph.SMALL_FRONTIER + 1, 2), (1, 1)):
-            step = graph._superstep(work, 0, active, salted=False)
-            plan = step._jdf.queryExecution().executedPlan().toString()
-            assert "Broadcast" not in plan and plan.count("SortMergeJoin") == joins
-            assert plan.count("Exchange") == 1
-            assert "partial_min" in plan[plan.index("Exchange hashpartitioning(dst") :]
-            assert ("EqualTo(src,17274)" in plan) == (active == 1)
-            assert sorted(row["id"] for row in step.collect()) == [2, 3, 4, 7]
+        step = graph._superstep(work, 0, salted=False)
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
+        assert plan.count("Exchange") == 1
+        assert "partial_min" in plan[plan.index("Exchange hashpartitioning(dst") :]
+        assert sorted(row["id"] for row in step.collect()) == [2, 3, 4, 7]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql(f"DROP DATABASE {work.database} CASCADE")

@@ -115,6 +115,16 @@ def test_replacing_sink_keeps_the_last_answer(spark, tmp_path, rows):
     assert sorted(lines) == ["TeamA,2", "TeamB,0"] and not (tmp_path / "out" / "old.csv").exists()
 
 
+def test_replacing_sink_keeps_windows_of_all_batches(spark, tmp_path, rows):
+    events = [(4, 60_000 * n, 20000 * (n % 2), 20000) for n in range(7)]
+    write_files(tmp_path / "in", *[[e] for e in events])
+    finish_positions(spark, str(tmp_path / "in"))
+    stream = as_motion(stream_positions(spark, str(tmp_path / "in"), max_files_per_trigger=1))
+    result = stream_zone_exits(stream, PENALTY_AREAS, rollup=None, scope="interleaved")
+    write_stream(result, str(tmp_path / "out"), fmt="parquet", replace=True).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).select("window_start").distinct().count() == 7
+
+
 def test_best_so_far(spark, rows, positions):
     windows = motion.avg_step(positions(STEP_EVENTS))
     early, late = windows.where("window_end < timestamp_millis(200000)"), windows.where("window_end >= timestamp_millis(200000)")
@@ -130,3 +140,14 @@ def test_track_best_over_micro_batches(spark, tmp_path, rows):
     track_best(windows, str(tmp_path / "best"), str(tmp_path / "progress")).awaitTermination()
     batch = motion.best_window(motion.avg_step(as_motion(read_positions(spark, str(tmp_path / "in"))).where("entity = 47")))
     assert rows(read_best(spark, str(tmp_path / "best"))) == rows(batch) and rows(batch)[0][2] == 25.0
+    assert len(list((tmp_path / "best").glob("batch=*"))) <= 3
+
+
+def test_avg_step_by_key_equals_batch(spark, tmp_path, rows):
+    events = [(s, 20_000 * n + s, n * s, n % 3) for n in range(40) for s in (4, 8)]
+    write_files(tmp_path / "in", events[:30], events[30:])
+    batch = motion.avg_step(as_motion(read_positions(spark, str(tmp_path / "in"))), keys=["entity"])
+    positions = as_motion(stream_positions(spark, str(tmp_path / "in"), max_files_per_trigger=1))
+    found = rows(finish_stream(positions, lambda rows: stream_avg_step(rows, keys=["entity"], slice_width="10 seconds")).where("entity is not null"))
+    assert [row[:3] for row in found] == [row[:3] for row in rows(batch)]
+    assert [row[3] for row in found] == pytest.approx([row[3] for row in rows(batch)], abs=1e-9)

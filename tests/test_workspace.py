@@ -1,0 +1,32 @@
+import os
+
+import pytest
+
+from fieldtally import workspace
+
+
+class _Session:
+    """What ``shared_dir`` asks of a session."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: folder or default)})()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.shared_dir(_Session("spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.shared_dir(_Session("local-cluster[2,1,1024]"))
+    assert workspace.shared_dir(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert workspace.shared_dir(_Session("local[4]")).endswith("fieldtally-checkpoints")
+
+
+def test_runs_can_be_dropped(spark):
+    path = workspace.new_run_dir(spark, "dropped")
+    spark.range(3).write.parquet(path)
+    assert workspace.exists(spark, path)
+    workspace.drop_run(spark, path)
+    assert not workspace.exists(spark, path)
+    with pytest.raises(ValueError, match="run folder"):
+        workspace.drop_run(spark, os.sep + "elsewhere")
