@@ -91,19 +91,22 @@ def _item_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         )
 
 
-def probes(fp: np.ndarray) -> list[np.ndarray]:
-    return [mixed(fp ^ seed) >> np.uint64(64 - FILTER_BITS) for seed in _PROBES]
+def probes(fp: np.ndarray, filter_bits: int) -> list[np.ndarray]:
+    return [mixed(fp ^ seed) >> np.uint64(64 - filter_bits) for seed in _PROBES]
 
 
-def _filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bits = np.unique(np.concatenate(probes(batch.column("fp").to_numpy().view(np.uint64))))
-        word, at = np.unique(bits >> np.uint64(6), return_index=True)
-        values = np.bitwise_or.reduceat(np.uint64(1) << (bits & np.uint64(63)), at) if len(bits) else bits
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(values.view(np.int64))], ["w", "b"])
+def _filter_words(filter_bits: int) -> Callable:
+    def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.unique(np.concatenate(probes(batch.column("fp").to_numpy().view(np.uint64), filter_bits)))
+            word, at = np.unique(bits >> np.uint64(6), return_index=True)
+            values = np.bitwise_or.reduceat(np.uint64(1) << (bits & np.uint64(63)), at) if len(bits) else bits
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(values.view(np.int64))], ["w", "b"])
+
+    return run_batches
 
 
-def _suspects(shared, lengths: list[int]) -> Callable:
+def _suspects(shared, lengths: list[int], filter_bits: int) -> Callable:
     """(key, text) -> (key, n_words, text where a fingerprint is in the filter, those fingerprints)."""
 
     def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +114,7 @@ def _suspects(shared, lengths: list[int]) -> Callable:
 
         def hit(hashes: np.ndarray) -> np.ndarray:
             found = np.ones(len(hashes), dtype=bool)
-            for p in probes(hashes):
+            for p in probes(hashes, filter_bits):
                 found &= (bits[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
             return found
 
@@ -194,7 +197,7 @@ def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def contamination(
     docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id",
-    item_text: str = "text", item_id: str = "item_id",
+    item_text: str = "text", item_id: str = "item_id", filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Rows (doc_id, th, n_words, n_hit, n_items, items_sha256, contaminated), one per row of ``docs``.
 
@@ -212,15 +215,15 @@ def contamination(
     schema = T.StructType([T.StructField("item", item_type), T.StructField("length", T.IntegerType()), T.StructField("fp", T.LongType())])
     prints = scratch.written(tests.mapInArrow(_item_fingerprints, schema).distinct(), "item-fingerprints")
     lengths = sorted(r.length for r in prints.where("length > 0").select("length").distinct().collect())  # 1 to 9 at most
-    words = prints.select("fp").mapInArrow(_filter_words, "w long, b long").groupBy("w").agg(F.bit_or("b").alias("b"))
-    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
+    words = prints.select("fp").mapInArrow(_filter_words(filter_bits), "w long, b long").groupBy("w").agg(F.bit_or("b").alias("b"))
+    bits = np.zeros(1 << (filter_bits - 6), dtype=np.int64)
     for r in words.collect():  # at most 2 ** 17 rows, whatever the benchmark's size
         bits[r.w] = r.b
     shared = spark.sparkContext.broadcast(bits.tobytes())
 
     id_type = narrow.schema["doc_id"].dataType
     schema = T.StructType().add("doc_id", id_type).add("th", "long").add("n_words", "long").add("text", "string").add("fps", T.ArrayType(T.LongType()))
-    read = scratch.written(narrow.mapInArrow(_suspects(shared, lengths), schema), "read")
+    read = scratch.written(narrow.mapInArrow(_suspects(shared, lengths, filter_bits), schema), "read")
     suspects = read.where("text is not null")
     seeds = suspects.select("doc_id", "th", F.explode(F.array_distinct("fps")).alias("fp"))
     pairs = seeds.join(prints.select("fp", "item"), "fp").select("doc_id", "th", "item").distinct()

@@ -51,15 +51,16 @@ def leaf_budgets(
 ) -> DataFrame:
     """(levels, tokens) -> (levels, tokens, alloc). ``budget`` may use the leaves' total ``tokens``."""
     leaves = leaves.withColumn("cap", F.col("tokens") * max_epochs)
-    root = leaves.agg(F.sum("tokens").alias("tokens"), F.sum("cap").alias("cap"))
-    parents = root.select(F.least(budget.cast("long"), F.col("cap")).alias("got"))
+    parents = None
     for depth in range(1, len(levels) + 1):
         names, above = list(levels[:depth]), list(levels[: depth - 1])
         nodes = leaves.groupBy(*names).agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
-        nodes = nodes.withColumn("w", _weights(names, weights)).where("w > 0 and cap > 0")
-        # one row at the root; below it, a row for each node of the level above
-        nodes = nodes.join(parents, above) if above else nodes.withColumn("_one", F.lit(1)).join(parents.withColumn("_one", F.lit(1)), "_one").drop("_one")
         siblings = W.partitionBy(*above) if above else W.partitionBy(F.lit(1))
+        if not above:  # ``budget`` is an expression over the tokens of the whole tree
+            whole = nodes.select(*names, "cap", F.col("tokens").alias("own"), F.sum("tokens").over(siblings).alias("tokens"))
+            nodes = whole.select(*names, "cap", F.col("own").alias("tokens"), budget.cast("long").alias("got"))
+        nodes = nodes.withColumn("w", _weights(names, weights)).where("w > 0 and cap > 0")
+        nodes = nodes.join(parents, above) if above else nodes
         ordered = siblings.orderBy(F.col("cap").cast("double") / F.col("w"), names[-1])
         whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
         nodes = (

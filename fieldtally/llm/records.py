@@ -34,7 +34,8 @@ from fieldtally.llm.scratch import Scratch
 
 MASK = 0xA282EAD8
 END_ID = 1
-CACHED_WORDS = 1 << 18  #: of each of the two caches of a worker
+CACHED_WORDS = 1 << 17  #: in each worker, cleared when full
+CACHED_PARTS = 1 << 19
 
 _PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
 _PARTS = re.compile("[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^0-9a-zÀ-ÖØ-öø-ÿ]+")
@@ -85,7 +86,7 @@ class WordEncoder:
         if found is None:
             spelled = part if part.isascii() else part.translate(self.letters)
             found = self.packed([t.id for t in self.tokenizer.model.tokenize(spelled)])
-            if len(self.parts) >= CACHED_WORDS:
+            if len(self.parts) >= CACHED_PARTS:
                 self.parts.clear()
             if len(part) <= 64:
                 self.parts[part] = found
