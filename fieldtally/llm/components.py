@@ -27,17 +27,17 @@ def _small_star(links: DataFrame) -> DataFrame:
     return out.where("child != parent").distinct()
 
 
-def _mark(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("child", "parent").cast("decimal(38,0)"))).first())
+def _is_forest_of_stars(links: DataFrame) -> bool:
+    """Every child has one parent, and no parent is a child: nothing would change any more."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("child").alias("v"), F.lit(1).alias("c")), F.struct(F.col("parent").alias("v"), F.lit(0).alias("c")))).alias("x"))
+    ends = ends.groupBy("x.v").agg(F.sum("x.c").alias("as_child"), F.min("x.c").alias("least"))
+    return ends.where("as_child > 1 OR (as_child = 1 AND least = 0)").isEmpty()
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``links`` (child, parent: longs, child > parent) -> (child, parent): each vertex but the
     smallest of its component, with that smallest vertex. No links give no rows."""
-    links = scratch.written(links, "links")
-    mark = _mark(links)
     while True:
         links = scratch.written(_small_star(_large_star(links)), "stars")
-        before, mark = mark, _mark(links)
-        if mark == before:
+        if _is_forest_of_stars(links):
             return links

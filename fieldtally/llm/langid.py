@@ -132,7 +132,7 @@ def identify(
     told = scored.where("n > 0").select("host", "suffix", best(F.col("ll")).alias("g"))
     told = scratch.written(told.groupBy("host", "suffix", "g").agg(F.count(F.lit(1)).alias("n")), "told")
 
-    def shares(names: list[str], above: Column) -> Column:
+    def shares(*names: str) -> DataFrame:
         counts = [F.sum(F.when(F.col("g") == i + 1, F.col("n")).otherwise(0)) for i in range(k)]
         return told.groupBy(*names).agg(F.array(*counts).alias("c"))
 
@@ -141,12 +141,11 @@ def identify(
         return F.transform(counts, lambda x, i: (x + F.lit(SMOOTHING) * F.element_at(above, i + 1)) / (total + SMOOTHING))
 
     even = F.array(*[F.lit(1.0 / k)] * k)
-    over_all = told.groupBy().agg(F.array(*[F.sum(F.when(F.col("g") == i + 1, F.col("n")).otherwise(0)) for i in range(k)]).alias("c"))
-    total_row = over_all.first()  # one row of ``k`` numbers
+    total_row = shares().first()  # one row of ``k`` numbers
     base = [float(x or 0) for x in (total_row["c"] or [0] * k)]
     base = F.array(*[F.lit((x + SMOOTHING / k) / (sum(base) + SMOOTHING)) for x in base])
-    by_suffix = shares(["suffix"], base).where("suffix is not null").select("suffix", smoothed(F.col("c"), base).alias("suffix_prior"))
-    by_host = shares(["host", "suffix"], base).where("host is not null")
+    by_suffix = shares("suffix").where("suffix is not null").select("suffix", smoothed(F.col("c"), base).alias("suffix_prior"))
+    by_host = shares("host", "suffix").where("host is not null")
     by_host = by_host.join(by_suffix, "suffix", "left")
     by_host = by_host.select("host", F.col("suffix").alias("host_suffix"), smoothed(F.col("c"), F.coalesce("suffix_prior", base)).alias("host_prior"))
     hosts = scratch.written(by_host, "hosts").alias("h")

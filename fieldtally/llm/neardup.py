@@ -3,7 +3,7 @@
 A document is the set of its distinct word shingles; two documents are linked when the Jaccard
 similarity of their sets reaches the threshold. Candidates come from a forest of chosen-path
 trees: in a node of a tree, one or two coordinates of the documents' minhash signatures are
-drawn (``1 / threshold`` on average, the same draw for all documents of the node), and every
+drawn (a little over ``1 / threshold`` on average, the same draw for all documents of the node), and every
 document moves to the child nodes named by its values there. Two similar sets stay together
 along at least one path with a probability that hardly falls with depth; independent trees
 raise it to the target recall (``recall``). Small nodes are compared exhaustively on
@@ -46,6 +46,9 @@ COORDINATES = 64
 SMALL_NODE = 250
 #: A link has fewer equal coordinates than this with a probability under 1e-6 (binomial, 64 draws at 0.85).
 LEAST_EQUAL = 40
+#: Per mille of the nodes below the first level that draw two coordinates. More than ``1 / threshold - 1``, so that the
+#: paths of a pair at the threshold multiply faster than they end.
+SECOND_CHILD = 300
 #: Nodes this deep are compared exhaustively whatever their size (equal signatures without a link).
 MAX_DEPTH = 48
 
@@ -189,7 +192,7 @@ class Forest:
         """(node, rid) some levels further down."""
         members = members.join(self.sketches, "rid").select("node", "rid", "signature")
         for _ in range(levels):
-            two = F.pmod(F.xxhash64("node", F.lit(-1), F.lit(self.seed)), F.lit(1000)) < int(1000 * (100 / THRESHOLD - 1))
+            two = F.pmod(F.xxhash64("node", F.lit(-1), F.lit(self.seed)), F.lit(1000)) < SECOND_CHILD
             child = [F.xxhash64("node", F.lit(c), self.value(self.coordinate(F.col("node"), c))) for c in (0, 1)]
             members = members.select(
                 F.explode(F.when(two, F.array(*child)).otherwise(F.array(child[0]))).alias("node"), "rid", "signature"
@@ -260,7 +263,7 @@ class Forest:
     def run(self) -> None:
         members = self.scratch.written(self.roots(), "level")
         self.merge(self.star_pairs(self.open_members(members)))
-        depth, levels, first = 1, 1, True
+        depth, levels, first = 1, 3, True
         while True:
             opened = self.scratch.written(self.open_members(members), "open")
             large = opened.where(f"size > {SMALL_NODE}").select("node", "rid")
@@ -274,7 +277,7 @@ class Forest:
             if rest:
                 return
             members = self.scratch.written(self.branched(large, levels), "level")
-            depth, levels, first = depth + levels, depth, False
+            depth, levels, first = depth + levels, 12, False
 
 
 def labelled(docs: DataFrame, text: str, doc_id: str, seed: int) -> tuple[DataFrame, DataFrame, Scratch]:
