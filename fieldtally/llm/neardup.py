@@ -3,7 +3,7 @@
 A document is the set of its distinct word shingles; two documents are linked when the Jaccard
 similarity of their sets reaches the threshold. Candidates come from a forest of chosen-path
 trees: in a node of a tree, one or two coordinates of the documents' minhash signatures are
-drawn (a little over ``1 / threshold`` on average, the same draw for all documents of the node), and every
+drawn (``1 / threshold`` on average, the same draw for all documents of the node), and every
 document moves to the child nodes named by its values there. Two similar sets stay together
 along at least one path with a probability that hardly falls with depth; independent trees
 raise it to the target recall (``recall``). Small nodes are compared exhaustively on
@@ -46,11 +46,11 @@ COORDINATES = 64
 SMALL_NODE = 250
 #: A link has fewer equal coordinates than this with a probability under 1e-6 (binomial, 64 draws at 0.85).
 LEAST_EQUAL = 40
-#: Per mille of the nodes below the first level that draw two coordinates. More than ``1 / threshold - 1``, so that the
-#: paths of a pair at the threshold multiply faster than they end.
-SECOND_CHILD = 300
+#: Per mille of the nodes below the first level that draw two coordinates, so that nodes draw ``1 / threshold`` on average.
+#: With more, pairs just below the threshold would multiply without end.
+SECOND_CHILD = 176
 #: Nodes this deep are compared exhaustively whatever their size (equal signatures without a link).
-MAX_DEPTH = 48
+MAX_DEPTH = 16
 
 _SEEDS = np.random.Generator(np.random.PCG64(77)).integers(0, 1 << 32, (2, COORDINATES), dtype=np.uint32)
 _ODD = _SEEDS[1] | np.uint32(1)
@@ -277,7 +277,7 @@ class Forest:
             if rest:
                 return
             members = self.scratch.written(self.branched(large, levels), "level")
-            depth, levels, first = depth + levels, 12, False
+            depth, levels, first = depth + levels, 6, False
 
 
 def labelled(docs: DataFrame, text: str, doc_id: str, seed: int) -> tuple[DataFrame, DataFrame, Scratch]:

@@ -107,8 +107,8 @@ def repeated_words(run: Run, words: np.ndarray) -> np.ndarray:
     twice[order[:-1][equal]] = True
     change = np.zeros(len(words) + 1, dtype=np.int64)
     at = starts[twice]
-    change[: len(words)] += np.bincount(at, minlength=len(words))
-    change += np.bincount(at + REPEAT_WINDOW, minlength=len(words) + 1)[: len(words) + 1] * -1
+    change[:-1] += np.bincount(at, minlength=len(words))
+    change -= np.bincount(at + REPEAT_WINDOW, minlength=len(words) + 1)
     covered = np.cumsum(change[:-1]) > 0
     np.add.at(out, run.text_of_word()[covered], 1)
     return out
