@@ -25,12 +25,13 @@ def marked(rows: DataFrame, ids: DataFrame, column: str, key: Column, scratch: S
     bits = ids.select(F.explode(F.array(*_places(F.col(column)))).alias("p"))
     one = F.expr("shiftleft(1L, CAST(p & 63 AS INT))")
     words = scratch.written(bits.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(one).alias("b")), "filter").coalesce(1)
-    out = rows.select("*", F.array(*_places(key)).alias("membership_p"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    out = rows.select(whole, F.array(*_places(key)).alias("membership_p"))
     for n in (0, 1):
         word = words.toDF(f"membership_w{n}", f"membership_b{n}")
         out = out.join(F.broadcast(word), F.shiftright(F.col("membership_p")[n], 6) == F.col(f"membership_w{n}"), "left")
     hit = [F.expr(f"coalesce(shiftright(membership_b{n}, CAST(membership_p[{n}] & 63 AS INT)) & 1L, 0L) = 1L") for n in (0, 1)]
-    return out.withColumn(SUSPECT, hit[0] & hit[1]).select(*rows.columns, SUSPECT)
+    return out.select("row.*", (hit[0] & hit[1]).alias(SUSPECT))
 
 
 def without(rows: DataFrame, bad: DataFrame, key: Column, scratch: Scratch) -> DataFrame:
