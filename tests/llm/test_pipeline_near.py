@@ -1,0 +1,23 @@
+"""The near_dedup stage between its own threshold and op7's."""
+
+import corpus_pipeline
+from fieldtally.llm import neardup
+
+SCHEMA = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
+
+
+def changed(n, *places):
+    words = [f"t{n}w{k}" for k in range(200)]
+    for p in places:
+        words[p] = f"other{p}"
+    return " ".join(words)
+
+
+def test_stage_links_from_080_on(spark, tmp_path):
+    # 196 shingles: four changes leave 176 of 216 (0.815), three 181 of 211 (0.858), five 171 of 221 (0.774)
+    texts = [changed(0), changed(0, 20, 60, 100, 140), changed(1), changed(1, 20, 60, 100), changed(2), changed(2, 20, 60, 100, 140, 180)]
+    docs = spark.createDataFrame([(n, t, "en", "src0", len(t)) for n, t in enumerate(texts)], SCHEMA)
+    stays = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in stays.collect()) == [0, 2, 4, 5]
+    op7 = neardup.near_duplicates(docs).where("kept").select("doc.doc_id")
+    assert sorted(r.doc_id for r in op7.collect()) == [0, 1, 2, 4, 5]
