@@ -51,6 +51,11 @@ def class_counts(run: Run) -> np.ndarray:
     return np.bincount(text * CLASSES + _CLASS[run.data], minlength=run.n_texts * CLASSES).reshape(-1, CLASSES)
 
 
+def lowered_hashes(run: Run) -> np.ndarray:
+    """Hashes of the words with A-Z lower-cased; classes are counted on the bytes as they are."""
+    return Run(run.first, LOWER[run.data], run.offsets, run.starts, run.ends, run.words).hashes()
+
+
 def _references(languages: Sequence[str]) -> Callable:
     def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {name: k for k, name in enumerate(languages)}
@@ -58,11 +63,11 @@ def _references(languages: Sequence[str]) -> Callable:
             label = np.array([place.get(x, -1) for x in batch.column("lang").to_pylist()], dtype=np.int64)
             hashes, owners = [], []
             classes = np.zeros((len(languages), CLASSES), dtype=np.int64)
-            for run in runs(batch.column("text"), SPACED):
+            for run in runs(batch.column("text"), SPACED, lower=False):
                 own = label[run.first : run.first + run.n_texts]
                 np.add.at(classes, own[own >= 0], class_counts(run)[own >= 0])
                 owner = np.repeat(own, run.counts())
-                hashes.append(run.hashes()[owner >= 0])
+                hashes.append(lowered_hashes(run)[owner >= 0])
                 owners.append(owner[owner >= 0])
             hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
             owners = np.concatenate(owners) if owners else np.zeros(0, np.int64)
@@ -146,7 +151,7 @@ def _judge(shared, languages: Sequence[str]) -> Callable:
                 found["n_symbols"][here] = np.diff(sums[run.offsets])
                 found["n_repeat_words"][here] = repeated_words(run, run.hashes())
                 histogram = class_counts(run)
-                lowered = Run(run.first, LOWER[run.data], run.offsets, run.starts, run.ends, run.words).hashes()
+                lowered = lowered_hashes(run)
                 text = run.text_of_word()
                 for k in range(len(languages)):
                     mine = np.flatnonzero((own == k) & (counts >= MIN_WORDS))
