@@ -92,7 +92,7 @@ def op8_chunked_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 def op9_kneser_ney_quality(spark: SparkSession, sf: str) -> DataFrame:
     good = table(spark, sf, "labels").where("quality = 1 and toxic = 0")
-    return perplexity.score(table(spark, sf, "documents"), good)
+    return perplexity.score_words(table(spark, sf, "documents"), good)
 
 
 def op10_winnowed_leaks(spark: SparkSession, sf: str) -> DataFrame:
