@@ -21,6 +21,9 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 MIN_SUPPORT = 0.005  #: share of the labelled URLs that have the tokens and a bad label
 LEAST_URLS = 20  #: and at least so many of them, since a few URLs prove nothing
 MIN_CONFIDENCE = 0.5
+#: By lift: at least so many bad URLs, whatever the number of all, and the lower end of Wilson's interval of the confidence above the share of bad URLs.
+LIFT_URLS = 5
+LIFT_Z = 1.96
 BAD = "label:bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -62,9 +65,18 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(F.coalesce(every, empty))
 
 
-def mined_rules(labelled: DataFrame, scratch: Scratch, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def surely_at_least(share: Column, n: Column) -> Column:
+    """The lower end of Wilson's interval of a share of ``n``."""
+    z2 = LIFT_Z**2
+    return (share + z2 / (2 * n) - LIFT_Z * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
+def mined_rules(labelled: DataFrame, scratch: Scratch, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, by_lift: bool = False) -> DataFrame:
     """(key, tokens, confidence, support) of the rules tokens -> bad label. ``labelled`` has (tokens, bad).
 
+    ``by_lift`` replaces both bounds: rules have ``LIFT_URLS`` bad URLs and a confidence that is above the share of bad URLs with
+    its whole interval (``LIFT_Z`` standard errors).
+
     ``key`` is the rule's rarest token. Without labelled rows, or with none frequent enough, there are no rules."""
     items = labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
     items = scratch.written(items.where(F.size("items") > 0), "transactions")
@@ -72,8 +84,14 @@ def mined_rules(labelled: DataFrame, scratch: Scratch, min_support: float = MIN_
     n = items.count()
     if not n:
         return items.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, LEAST_URLS / n)), minConfidence=min_confidence).fit(items)
+    least, base = max(min_support, LEAST_URLS / n), 0.0
+    if by_lift:
+        base = items.where(F.array_contains("items", BAD)).count() / n
+        least, min_confidence = (LIFT_URLS - 0.5) / n, base
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least), minConfidence=min_confidence).fit(items)
     rules = model.associationRules.where(F.element_at("consequent", 1) == BAD)
+    if by_lift:
+        rules = rules.where(surely_at_least(F.col("confidence"), F.round(F.col("support") * n / F.col("confidence"))) > base)
     rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     single = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
     parts = rules.select("*", F.explode("tokens").alias("token")).join(single, "token")
@@ -81,7 +99,7 @@ def mined_rules(labelled: DataFrame, scratch: Scratch, min_support: float = MIN_
     return scratch.written(keyed.select("key", "tokens", "confidence", "support"), "rules")
 
 
-def judge(pages: DataFrame, labelled: DataFrame, page_id: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+def judge(pages: DataFrame, labelled: DataFrame, page_id: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, by_lift: bool = False) -> DataFrame:
     """Rows (page_id, host, path, rule, verdict, confidence), one per row of ``pages``. ``labelled`` has (url, bad).
 
     URLs without a fixed rule are blocked if a mined rule's tokens are all among theirs; ``confidence`` is that of the
@@ -89,7 +107,7 @@ def judge(pages: DataFrame, labelled: DataFrame, page_id: str = "page_id", url:
     """
     scratch = Scratch(pages.sparkSession, "urlrules")
     known = labelled.where(F.col("url").isNotNull()).select(tokens_of(F.col("url")).alias("tokens"), F.coalesce("bad", F.lit(False)).alias("bad"))
-    mined = mined_rules(known, scratch)
+    mined = mined_rules(known, scratch, by_lift=by_lift)
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"))
     urls = rows.where("url is not null").select("url").distinct().withColumn("own", tokens_of(F.col("url")))
     found = urls.select("url", "own", F.explode("own").alias("key")).join(mined, "key")

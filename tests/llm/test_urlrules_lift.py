@@ -1,0 +1,42 @@
+"""Rules by lift: on the given tables, and only those that are surely above the share of bad URLs."""
+
+import math
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from fieldtally.llm import queries, urlrules
+from fieldtally.llm.scratch import Scratch
+
+TABLES = "/root/testdata/sf0.1"
+
+
+def lower_end(k, n, z=1.96):
+    p = k / n
+    return (p + z * z / 2 / n - z * math.sqrt(p * (1 - p) / n + z * z / 4 / n / n)) / (1 + z * z / n)
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="needs the given tables")
+def test_rules_decide_urls_of_the_given_tables(spark):
+    known = queries.labelled_urls(spark, TABLES).select(urlrules.tokens_of(F.col("url")).alias("tokens"), "bad").collect()
+    frame = spark.createDataFrame(known)
+    rules = urlrules.mined_rules(frame, Scratch(spark, "t"), by_lift=True).collect()
+    base = sum(r.bad for r in known) / len(known)
+    assert rules
+    for rule in rules:
+        own = [r.bad for r in known if set(rule.tokens) <= set(r.tokens)]
+        assert sum(own) >= urlrules.LIFT_URLS and lower_end(sum(own), len(own)) > base
+    judged = queries.op5_association_urls(spark, TABLES)
+    mined = judged.where("confidence is not null and rule is null")
+    print("rules", len(rules), "hit", judged.where("confidence is not null").count(), "decided", mined.count())
+    assert mined.count() and mined.where("verdict != 'block'").isEmpty()
+
+
+def test_chance_gives_no_rule(spark):
+    rows = [(["h:a", f"p:{k}"] if k % 2 else ["h:b", f"p:{k}"], k % 4 < 2) for k in range(2000)]
+    frame = spark.createDataFrame(rows, "tokens ARRAY<STRING>, bad BOOLEAN")
+    assert urlrules.mined_rules(frame, Scratch(spark, "t"), by_lift=True).isEmpty()
+    rare = [(["h:spam", f"p:s{k}"], True) for k in range(6)]
+    found = urlrules.mined_rules(spark.createDataFrame(rows + rare, frame.schema), Scratch(spark, "t"), by_lift=True)
+    assert [r.tokens for r in found.collect()] == [["h:spam"]]
