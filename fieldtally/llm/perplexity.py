@@ -4,6 +4,8 @@ The model is trained on all trusted documents, per language: raw counts of the h
 bytes to the left) below it, three discounts per order and language from the counts of counts. All counts are
 grouped tables; probabilities are computed by joining them, order by order, for the distinct n-grams that documents have.
 
+``score`` does this with bytes, ``score_words`` with words; what follows holds for both, except that ``score_words`` takes its bound from held-out texts.
+
 Texts are never shuffled. A block is an input file: one pass lists the distinct n-grams of each task's part of a block, their
 probabilities are joined to that list, dealt by block and written to the shared folder, and a last pass reads each
 block's probabilities (no more than its texts have n-grams) beside its texts. Which documents are trusted travels
