@@ -12,11 +12,13 @@ token), so any record can be read on its own and in any order.
 Documents are range-partitioned by id; a task encodes its part in batches and streams one file to the
 shared folder. The index is written by Spark, and only files named in it exist for readers.
 
-Encoding keeps the ids of words that it has seen: white space separates words for this tokenizer, and no merge crosses it.
+Encoding keeps the ids of words that it has seen (``tokens``) where the vocabulary's file cuts texts as ``KNOWN_CUTS`` does: white space
+separates words there, and no merge crosses it. Texts for any other file go through the library's tokenizer whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -31,12 +33,24 @@ from pyspark.sql import types as T
 
 from fieldtally.llm import shared_files
 from fieldtally.llm.scratch import Scratch
+from fieldtally.llm.tokens import BatchEncoder, column_ids
 
 MASK = 0xA282EAD8
 END_ID = 1
 CACHED_WORDS = 1 << 17  #: in each worker, cleared when full
 CACHED_PARTS = 1 << 19
 
+# How the public file word_bpe_49k.json normalizes and cuts texts.
+KNOWN_CUTS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
+
 _PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
 _PARTS = re.compile("[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^0-9a-zÀ-ÖØ-öø-ÿ]+")
 _SPACE = re.compile("[\x20\x09-\x0d]+")
@@ -108,6 +122,25 @@ class WordEncoder:
         return b"".join([w for x in _SPACE.split(text) if x for w in (known(x) or word(x),)])
 
 
+def cuts_are_known(path: str) -> bool:
+    """Whether a vocabulary's file lets words be encoded one by one: cut as in ``KNOWN_CUTS``, and no added token holds white space."""
+    with open(path, encoding="utf-8") as source:
+        found = json.load(source)
+    words = not any(_SPACE.search(t["content"]) or t["lstrip"] or t["rstrip"] for t in found["added_tokens"])
+    return words and all(found[k] == v for k, v in KNOWN_CUTS.items())
+
+
+_BATCH: dict[str, BatchEncoder] = {}
+
+
+def batch_encoder(path: str) -> BatchEncoder:
+    """One encoder of whole columns per worker and vocabulary, so that its words outlive a task."""
+    if path not in _BATCH:
+        one = encoder(path)
+        _BATCH[path] = BatchEncoder(one.word, lambda text: one.packed(one.tokenizer.encode(text, add_special_tokens=False).ids), one.width, cuts_are_known(path))
+    return _BATCH[path]
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -120,8 +153,8 @@ def encoder(path: str) -> WordEncoder:
 
 def _write(folder: str, path: str, end_id: int) -> Callable:
     def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        end = encode.packed([end_id])
+        encode = batch_encoder(path)
+        end = np.array([end_id], dtype=encode.width).tobytes()
         step = len(end)
         uri, out, offset = None, None, 0
         try:
@@ -131,8 +164,8 @@ def _write(folder: str, path: str, end_id: int) -> Callable:
                 if out is None:
                     uri, out = shared_files.create(folder, ".records")
                 offsets, lengths, tokens = [], [], []
-                for text in batch.column("text"):
-                    payload = encode.encode(text.as_py() or "") + end
+                for ids in column_ids(encode, batch.column("text")):
+                    payload = ids.tobytes() + end
                     record = frame(payload)
                     out.write(record)
                     offsets.append(offset)
@@ -143,8 +176,9 @@ def _write(folder: str, path: str, end_id: int) -> Callable:
                     [
                         batch.column("doc_id"), batch.column("part"), pa.array([uri] * len(offsets)),
                         pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()), pa.array(tokens, pa.int64()),
+                        pa.array(np.full(len(offsets), step, dtype=np.int32)),
                     ],
-                    ["doc_id", "part", "file", "offset", "length", "n_tokens"],
+                    ["doc_id", "part", "file", "offset", "length", "n_tokens", "width"],
                 )
         finally:
             if out is not None:
@@ -155,7 +189,7 @@ def _write(folder: str, path: str, end_id: int) -> Callable:
 
 def write_records(docs: DataFrame, vocabulary: str, folder: str, text: str = "text", doc_id: str = "doc_id", end_id: int = END_ID) -> DataFrame:
     """Writes the records below ``folder`` and returns the index, written there as ``index``:
-    (doc_id, part, file, offset, length, n_tokens). ``vocabulary`` is a tokenizer file that every worker can open.
+    (doc_id, part, file, offset, length, n_tokens, width: bytes of an id). ``vocabulary`` is a tokenizer file that every worker can open.
 
     NULL and empty texts are a record of the end id alone. Rows with equal ids are records of their own, in the order of
     their texts' hashes; NULL ids come first. An empty table gives an empty index and no file.
@@ -165,34 +199,35 @@ def write_records(docs: DataFrame, vocabulary: str, folder: str, text: str = "te
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
     rows = rows.select("doc_id", "text", F.spark_partition_id().alias("part"))
     schema = T.StructType().add("doc_id", rows.schema["doc_id"].dataType).add("part", "integer").add("file", "string")
-    schema = schema.add("offset", "long").add("length", "long").add("n_tokens", "long")
+    schema = schema.add("offset", "long").add("length", "long").add("n_tokens", "long").add("width", "integer")
     index = rows.mapInArrow(_write(f"{folder}/files", vocabulary, end_id), schema)
     index.write.parquet(f"{folder}/index")
     return docs.sparkSession.read.schema(index.schema).parquet(f"{folder}/index")
 
 
-def _read(width: str) -> Callable:
-    def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uri, source = None, None
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    uri, source = None, None
+    try:
         for batch in batches:
             ids = []
-            for name, offset, length in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "length")), strict=True):
+            for name, offset, length, width in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "length", "width")), strict=True):
                 if name != uri:
                     if source is not None:
                         source.close()
                     uri, source = name, shared_files.open_file(name)
                 source.seek(offset)
-                ids.append(np.frombuffer(unframe(source.read(length)), dtype=width).astype("<u4").tobytes())
+                ids.append(np.frombuffer(unframe(source.read(length)), dtype=f"<u{width}").astype("<u4").tobytes())
             keep = [batch.column(c) for c in ("doc_id", "part", "offset")]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(ids, pa.binary())], ["doc_id", "part", "offset", "ids"])
-
-    return run_batches
+    finally:
+        if source is not None:
+            source.close()
 
 
-def read_records(index: DataFrame, width: str = "<u2") -> DataFrame:
+def read_records(index: DataFrame) -> DataFrame:
     """Rows (doc_id, part, offset, ids: little-endian uint32) of the records named by ``index``, in any order and number."""
     schema = T.StructType().add("doc_id", index.schema["doc_id"].dataType).add("part", "integer").add("offset", "long").add("ids", "binary")
-    return index.select("doc_id", "part", "file", "offset", "length").mapInArrow(_read(width), schema)
+    return index.select("doc_id", "part", "file", "offset", "length", "width").mapInArrow(_read, schema)
 
 
 def token_starts(records: DataFrame, scratch: Scratch) -> DataFrame:

@@ -160,3 +160,60 @@ def test_base32_of_known_values(spark):
     rows = [(hashlib.sha1(bytes([n])).hexdigest(),) for n in range(50)]
     found = spark.createDataFrame(rows, "h STRING").select("h", warc.base32_column(F.col("h")).alias("b")).collect()
     assert all(r.b == base64.b32encode(bytes.fromhex(r.h)).decode() for r in found)
+
+
+def test_column_encoder_equals_the_library(library):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = [None, "", "  \n", "x" * 5000, "a " * 3000] + ["".join(rng.choices(ALPHABET, k=rng.randrange(200))) for _ in range(300)]
+    own = records.batch_encoder(VOCABULARY)
+    assert own.wordwise
+    for _ in range(2):  # once with new words, once with known ones
+        found = [x.tolist() for x in records.column_ids(own, pa.array(texts))]
+        assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_column_encoder_with_full_tables_and_one_hash_for_all(library, monkeypatch):
+    import pyarrow as pa
+
+    from fieldtally.llm import tokens, words
+
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randrange(9))) for _ in range(50)]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    one = records.WordEncoder(VOCABULARY)
+    make = lambda: tokens.BatchEncoder(one.word, lambda t: np.array(library.encode(t, add_special_tokens=False).ids, one.width).tobytes(), one.width)
+    with monkeypatch.context() as patch:
+        patch.setattr(tokens, "TABLE_BYTES", 0)
+        patch.setattr(tokens, "RECENT", 2)
+        patch.setattr(words, "RUN_BYTES", 20)
+        assert [x.tolist() for x in records.column_ids(make(), pa.array(texts))] == expected
+    monkeypatch.setattr(words.Run, "hashes", lambda run: np.zeros(len(run.starts), dtype=np.uint64))
+    assert [x.tolist() for x in records.column_ids(make(), pa.array(texts))] == expected
+
+
+def test_records_of_other_vocabularies(spark, tmp_path):
+    """Case, white space and cuts of a file are its own; the width of ids comes from the index."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not records.cuts_are_known(path) and records.cuts_are_known(VOCABULARY)
+    plain = Tokenizer.from_file(path)
+    texts = ["The Cat sat on  12 Hats.", "", None, "é\n\nÀ  x", "  lead"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    index = records.write_records(frame, path, str(tmp_path / "other"), end_id=7)
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in records.read_records(index).collect()}
+    assert found == {n: [*plain.encode(t or "", add_special_tokens=False).ids, 7] for n, t in enumerate(texts)}
+
+
+def test_width_of_ids_is_read_from_the_index(spark, tmp_path, monkeypatch):
+    texts = ["some words here", "and more"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").coalesce(1)
+    index = records.write_records(frame, VOCABULARY, str(tmp_path / "narrow"))
+    row = index.where("doc_id = 0").first()
+    ids = np.frombuffer(next(r.ids for r in records.read_records(index).collect() if r.doc_id == 0), "<u4")
+    wide = records.frame(ids.astype("<u4").tobytes())
+    (tmp_path / "wide").write_bytes(wide)
+    one = spark.createDataFrame([(0, 0, str(tmp_path / "wide"), 0, len(wide), len(ids), 4)], index.schema)
+    assert row.width == 2 and records.read_records(one).first().ids == ids.tobytes()
