@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import perplexity, quality, records, urlrules, warc
+from fieldtally.llm import packing, perplexity, quality, records, urlrules, warc
 from fieldtally.llm.decontam import contamination
 from fieldtally.llm.langid import identify
 from fieldtally.llm.mixing import Mixture
@@ -99,6 +99,13 @@ def op10_winnowed_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("th")
 
 
+def op11_bounded_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -155,7 +162,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_hierarchical_mixture, op2_evidence_language, op3_divergence_quality, op4_framed_token_records,
         op5_association_urls, op6_hypergeometric_shards, op7_chosen_path_neardup, op8_chunked_warc,
-        op9_kneser_ney_quality, op10_winnowed_leaks,
+        op9_kneser_ney_quality, op10_winnowed_leaks, op11_bounded_packing,
     )
     return {f.__name__: f for f in found}
 
