@@ -11,6 +11,7 @@ from fieldtally.llm import packing, perplexity, quality, records, urlrules, warc
 from fieldtally.llm.decontam import contamination
 from fieldtally.llm.langid import identify
 from fieldtally.llm.mixing import Mixture
+from fieldtally.llm.negatives import hard_negatives, whole_numbers
 from fieldtally.llm.neardup import near_duplicates
 from fieldtally.llm.scratch import Scratch
 from fieldtally.llm.sharding import shard_rows
@@ -106,6 +107,12 @@ def op11_bounded_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_threshold_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").select("vec_id", label.alias("label"), whole_numbers(F.col("embedding"), 256).alias("vector"))
+    return hard_negatives(rows, "vec_id", "label", "vector", F.col("vec_id") % 100 == 0)
+
+
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -158,11 +165,30 @@ FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN lists USING (doc_id)
 """
 
 
+SQL["op12_threshold_negatives"] = """
+WITH rows AS MATERIALIZED (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS MATERIALIZED (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS own, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+    other AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT own AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_hierarchical_mixture, op2_evidence_language, op3_divergence_quality, op4_framed_token_records,
         op5_association_urls, op6_hypergeometric_shards, op7_chosen_path_neardup, op8_chunked_warc,
-        op9_kneser_ney_quality, op10_winnowed_leaks, op11_bounded_packing,
+        op9_kneser_ney_quality, op10_winnowed_leaks, op11_bounded_packing, op12_threshold_negatives,
     )
     return {f.__name__: f for f in found}
 
