@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.llm import packing, perplexity, quality, records, urlrules, warc
+from fieldtally.llm.audit import source_divergence
 from fieldtally.llm.decontam import contamination
 from fieldtally.llm.langid import identify
 from fieldtally.llm.mixing import Mixture
@@ -113,6 +114,10 @@ def op12_threshold_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives(rows, "vec_id", "label", "vector", F.col("vec_id") % 100 == 0)
 
 
+def op13_iceberg_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return source_divergence(table(spark, sf, "documents"))
+
+
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -184,11 +189,48 @@ QUALIFY rank <= 5
 """
 
 
+TERMS = r"regexp_extract_all({}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL["op13_iceberg_divergence"] = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {TERMS.format(LOWERED.format('text'))} AS w
+    FROM documents),
+found AS MATERIALIZED (
+    SELECT lang, source, row, term, count(*) AS n FROM (SELECT lang, source, row, unnest(w) AS term FROM docs) GROUP BY ALL),
+kept AS MATERIALIZED (SELECT lang, term, sum(n) AS n FROM found GROUP BY ALL HAVING count(*) >= 3),
+counts AS MATERIALIZED (SELECT lang, source, term, sum(n) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS whole FROM kept GROUP BY 1),
+groups AS MATERIALIZED (
+    SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(own, 0) AS own, whole
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN sizes s ON s.lang = g.lang
+    LEFT JOIN (SELECT lang, source, sum(n) AS own FROM counts GROUP BY ALL) o ON o.lang = g.lang AND o.source = g.source),
+shares AS MATERIALIZED (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)::HUGEINT) // (own + v)::HUGEINT)::BIGINT AS p,
+        (1 + (1000000000::HUGEINT * (k.n + 1)::HUGEINT) // (whole + v)::HUGEINT)::BIGINT AS q
+    FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_hierarchical_mixture, op2_evidence_language, op3_divergence_quality, op4_framed_token_records,
         op5_association_urls, op6_hypergeometric_shards, op7_chosen_path_neardup, op8_chunked_warc,
         op9_kneser_ney_quality, op10_winnowed_leaks, op11_bounded_packing, op12_threshold_negatives,
+        op13_iceberg_divergence,
     )
     return {f.__name__: f for f in found}
 
