@@ -17,7 +17,7 @@ def shingles(text):
     return {tuple(w)} if len(w) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
 
-def brute(docs):
+def brute(docs, threshold=85):
     """(doc_id, size, component) by comparing everything with everything; ids must differ."""
     sets = {i: shingles(t) for i, t in docs}
     label = {i: i for i in sets}
@@ -31,7 +31,7 @@ def brute(docs):
     for n, a in enumerate(ids):
         for b in ids[:n]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if both and 100 * both >= threshold * (len(sets[a]) + len(sets[b]) - both):
                 x, y = sorted((top(a), top(b)))
                 label[y] = x
     return {i: (len(s), top(i)) for i, s in sets.items()}
