@@ -17,11 +17,9 @@ terms that neither has: from the number of terms that a source lacks, a histogra
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,14 +31,14 @@ from fieldtally.llm.words import Run, byte_class, mixed, runs
 
 #: Terms of ``[^\x00-\x40\x5B-\x60\x7B-\x7F]+`` in text with A-Z lower-cased: letters and all that is not ASCII.
 LETTERS = byte_class([*range(0x00, 0x61), *range(0x7B, 0x80)])
-FIRST_WIDTH = 4  #: bytes of the first level's prefixes
+FIRST_WIDTH = 6  #: bytes of the first level's prefixes
 LEAST = 3  #: documents of a kept term
 TOP = 200  #: terms listed for each source
 UNIT = 1_000_000_000
 FILTER_BITS = 23
 PAIRS = 1 << 21  #: pairs of sources that a task holds at once
 _OPEN = np.uint64(0xA24BAED4963EE407)
-_LEVEL = "lang string, source string, prefix binary, whole boolean, h long, docs long, n long"
+_LEVEL = "place long, prefix binary, docs long, n long"
 
 
 def prefixes(run: Run, width: int, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,80 +51,96 @@ def prefixes(run: Run, width: int, lang: np.ndarray) -> tuple[np.ndarray, np.nda
     return mixed(hashes + np.repeat(lang, run.counts())), whole
 
 
-def text_hashes(column: pa.Array) -> np.ndarray:
-    """A hash of each value of a string column."""
-    values = column.dictionary_encode()
-    names = [int.from_bytes(blake2b(x.as_py().encode(), digest_size=8).digest(), "little") for x in values.dictionary]
-    return np.array(names or [0], dtype=np.uint64)[np.asarray(values.indices)]
+def _some(run: Run, text: np.ndarray, words: np.ndarray) -> tuple[Run, np.ndarray]:
+    """The run with some of its words only, and these words' texts."""
+    text = text[words]
+    borders = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=run.n_texts))))
+    return Run(run.first, run.data, run.offsets, run.starts[words], run.ends[words], borders), text
 
 
 def _level(width: int, before: int, shared) -> Callable:
-    """Partial counts of one level: prefixes of ``width`` bytes of the words that were cut at ``before`` bytes and whose prefix was kept."""
+    """Partial counts of one level: prefixes of ``width`` bytes of the words that were cut at ``before`` bytes and whose prefix was kept.
+    The beginning of a longer word ends in a zero byte, and its place is the language; that of a whole word is the source."""
 
     def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, dtype=np.uint64) if shared else None
         for batch in batches:
-            lang, source = (text_hashes(batch.column(c)) for c in ("lang", "source"))
+            langs, sources = (batch.column(c).to_numpy().view(np.uint64) for c in ("lang", "source"))
             found = []
             for run in runs(batch.column("text"), LETTERS):
-                own = slice(run.first, run.first + run.n_texts)
+                lang, source = (x[run.first : run.first + run.n_texts] for x in (langs, sources))
                 text = run.text_of_word()
                 if before:
-                    parent, whole = prefixes(run, before, lang[own])
-                    some = ~whole
+                    run, text = _some(run, text, np.flatnonzero(run.ends - run.starts > before))
+                    parent, _ = prefixes(run, before, lang)
+                    kept = np.ones(len(parent), dtype=bool)
                     for p in probes(parent, FILTER_BITS):
-                        some[some] = (bits[p[some] >> np.uint64(6)] >> (p[some] & np.uint64(63))) & np.uint64(1) == 1
-                    some = np.flatnonzero(some)
-                else:
-                    some = np.arange(len(run.starts))
-                if not len(some):
+                        kept &= (bits[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+                    run, text = _some(run, text, np.flatnonzero(kept))
+                if not len(text):
                     continue
-                text = text[some]
-                counts = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=run.n_texts))))
-                run = Run(run.first, run.data, run.offsets, run.starts[some], run.ends[some], counts)
-                h, whole = prefixes(run, width, lang[own])
-                # whole words are counted by source
-                key = mixed(h ^ np.where(whole, source[own][text], np.uint64(0)))
-                keys, first, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-                in_texts = np.unique(place * run.n_texts + text) // run.n_texts
-                sizes = np.minimum(run.ends[first] - run.starts[first], width)
-                letters = run.data[ragged(run.starts[first], sizes)[0]]
-                found.append((keys, run.first + text[first], whole[first], h[first], np.bincount(in_texts, minlength=len(keys)), n, sizes, letters))
+                key, whole = prefixes(run, width, lang)
+                place = np.where(whole, source[text], lang[text])
+                key = mixed(key ^ place)
+                order = np.argsort(key, kind="stable")  # a key's words stay in the order of their texts
+                key, at = key[order], text[order]
+                new = np.append(True, key[1:] != key[:-1])
+                first = np.flatnonzero(new)
+                other_text = np.append(True, at[1:] != at[:-1]) | new
+                word = order[first]
+                n = np.diff(np.append(first, len(key)))
+                sizes = np.minimum(run.ends[word] - run.starts[word], width)
+                letters = run.data[ragged(run.starts[word], sizes)[0]]
+                found.append((key[first], place[word], whole[word], np.add.reduceat(other_text, first, dtype=np.int64), n, sizes, letters))
             if found:
-                yield _summed(batch, found)
+                yield _summed(found)
 
     return run_batches
 
 
-def _summed(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+def _summed(found: list[tuple]) -> pa.RecordBatch:
     """The counts of a batch's runs, a row per key."""
-    key, text, whole, h, docs, n, sizes, letters = (np.concatenate(x) for x in zip(*found, strict=True))
-    _, first, place = np.unique(key, return_index=True, return_inverse=True)
-    docs, n = (np.bincount(place, weights=x, minlength=len(first)).astype(np.int64) for x in (docs, n))
-    whole, text, own = whole[first], text[first], sizes[first]
-    letters = letters[ragged((np.cumsum(sizes) - sizes)[first], own)[0]]
-    offsets = np.concatenate(([0], np.cumsum(own))).astype(np.int32)
-    names = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(letters.tobytes())])
-    sources = pa.compute.if_else(pa.array(whole), batch.column("source").take(pa.array(text)), pa.scalar(None, pa.string()))
-    return pa.RecordBatch.from_arrays(
-        [batch.column("lang").take(pa.array(text)), sources, names, pa.array(whole), pa.array(h[first].view(np.int64)), pa.array(docs), pa.array(n)],
-        ["lang", "source", "prefix", "whole", "h", "docs", "n"],
-    )
-
-
-def kept_terms(texts: DataFrame, scratch: Scratch, least: int = LEAST, first_width: int = FIRST_WIDTH) -> DataFrame:
-    """(lang, source, term, n) of the terms that at least ``least`` rows of ``texts`` (lang, source, text) have in their language."""
+    key, place, whole, docs, n, sizes, letters = (np.concatenate(x) for x in zip(*found, strict=True))
+    _, first, number = np.unique(key, return_index=True, return_inverse=True)
+    docs, n = (np.bincount(number, weights=x, minlength=len(first)).astype(np.int64) for x in (docs, n))
+    whole, own = whole[first], sizes[first]
+    offsets = np.concatenate(([0], np.cumsum(own + ~whole))).astype(np.int32)
+    out = np.zeros(offsets[-1], dtype=np.uint8)  # zeros end what goes on
+    out[ragged(offsets[:-1], own)[0]] = letters[ragged((np.cumsum(sizes) - sizes)[first], own)[0]]
+    names = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(place[first].view(np.int64)), names, pa.array(docs), pa.array(n)], ["place", "prefix", "docs", "n"])
+
+
+def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The filter's words that hold the prefixes (lang, prefix) of each batch."""
+
+    def prints() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = batch.column("lang").to_numpy().view(np.uint64)
+            names, offsets = batch.column("prefix"), np.asarray(batch.column("prefix").cast(pa.large_binary()).buffers()[1])
+            offsets = np.frombuffer(offsets, dtype=np.int64)[: len(names) + 1]
+            data = np.frombuffer(b"".join(names.to_pylist()), dtype=np.uint8)
+            offsets = offsets - offsets[0]
+            words = Run(0, data, offsets, offsets[:-1], offsets[1:] - 1, np.arange(len(names) + 1))
+            key = mixed((words.hashes() ^ _OPEN) + lang)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["fp"])
+
+    return _filter_words(FILTER_BITS)(prints())
+
+
+def kept_terms(texts: DataFrame, groups: DataFrame, scratch: Scratch, least: int = LEAST, first_width: int = FIRST_WIDTH) -> DataFrame:
+    """(g, term, n) of the terms that at least ``least`` rows of ``texts`` (lang, source, text) have in their language.
+    Languages and sources are given by 64-bit hashes; ``groups`` (lang, g) has those of each source's language."""
     spark, width, before, shared, done = texts.sparkSession, first_width, 0, None, []
     while True:
-        rows = texts.mapInArrow(_level(width, before, shared), _LEVEL)
-        rows = rows.groupBy("lang", "source", "prefix", "whole", "h").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+        rows = texts.mapInArrow(_level(width, before, shared), _LEVEL).groupBy("place", "prefix").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
         rows = scratch.written(rows, f"prefixes-{width}")
-        kept = rows.groupBy("lang", "prefix", "whole", "h").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
-        kept = scratch.written(kept, f"kept-{width}")
-        whole = kept.where("whole").select("lang", "prefix")
-        counts = rows.where("whole").join(whole, ["lang", "prefix"], "left_semi")
-        done.append(counts.select("lang", "source", F.col("prefix").cast("string").alias("term"), "n"))
-        words = kept.where("not whole").select(F.col("h").alias("fp")).mapInArrow(_filter_words(FILTER_BITS), "w long, b long")
+        ends = F.substring("prefix", -1, 1) == F.lit(b"\0")
+        whole = rows.where(~ends).join(groups.select("lang", F.col("g").alias("place")), "place")
+        kept = scratch.written(whole.groupBy("lang", "prefix").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least), f"kept-{width}")
+        counts = whole.join(kept.select("lang", "prefix"), ["lang", "prefix"], "left_semi")
+        done.append(counts.select(F.col("place").alias("g"), F.col("prefix").cast("string").alias("term"), "n"))
+        words = rows.where(ends & (F.col("docs") >= least)).select(F.col("place").alias("lang"), "prefix").mapInArrow(_filter_bits, "w long, b long")
         words = words.groupBy("w").agg(F.bit_or("b").alias("b")).collect()  # of a filter of fixed size
         if not words:
             break
@@ -196,14 +210,18 @@ def source_divergence(
     """
     scratch = Scratch(docs.sparkSession, "audit")
     texts = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"), (text, "text"))])
-    terms = kept_terms(texts, scratch, least, first_width)
-    v = terms.select("lang", "term").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    sums = terms.groupBy("lang", "source").agg(F.sum("n").alias("own"))
-    groups = texts.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("docs")).join(sums, ["lang", "source"], "left").join(v, "lang", "left")
-    groups = groups.selectExpr("lang", "source", "coalesce(own, 0) as own", "coalesce(v, 0) as v", "sum(coalesce(own, 0)) over (partition by lang) as whole")
+    names = texts.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("docs"))
+    names = scratch.written(names.select("*", F.xxhash64("lang", "source").alias("g")), "names")
+    hashed = texts.select(F.xxhash64("lang").alias("lang"), F.xxhash64("lang", "source").alias("source"), "text")
+    terms = kept_terms(hashed, names.select(F.xxhash64("lang").alias("lang"), "g"), scratch, least, first_width)
+    sums = terms.groupBy("g").agg(F.sum("n").alias("own"))
+    v = terms.join(names, "g").select("lang", "term").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
+    groups = names.join(sums, "g", "left").join(v, "lang", "left")
+    whole = "sum(coalesce(own, 0)) over (partition by lang) as whole"
+    groups = groups.selectExpr("g", "lang", "source", "coalesce(own, 0) as own", "coalesce(v, 0) as v", whole)
     base = f"case when v > 0 then {share('0', 'own')} end as base"
-    groups = scratch.written(groups.select(F.monotonically_increasing_id().alias("g"), "*", F.expr(base)), "groups")
-    entries = terms.join(groups, ["lang", "source"]).selectExpr("lang", "whole", "v", "term", "n", "g", "base", f"{share('n', 'own')} as p")
+    groups = scratch.written(groups.select("*", F.expr(base)), "groups")
+    entries = terms.join(groups, "g").selectExpr("lang", "whole", "v", "term", "n", "g", "base", f"{share('n', 'own')} as p")
     entry = F.struct("g", "p", "base")
     by_term = entries.groupBy("lang", "term", "whole", "v").agg(F.sum("n").alias("n"), F.collect_list(entry).alias("entries"))  # an entry a source
     by_term = scratch.written(by_term, "by-term")

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldtally.llm import audit
 from fieldtally.llm.scratch import Scratch
@@ -71,14 +72,16 @@ def test_rows_equal_brute_force(spark, monkeypatch, least, top, width, pairs):
 def test_rare_prefixes_are_not_extended(spark):
     docs = [("en", "s0", f"zzzz{c}yyyyyyyyyyyy common") for c in "abc"] + [("en", "s1", "qqqqqqqqqqqqqqqq common")] * 2 + [("de", "s0", "common")]
     scratch = Scratch(spark, "t")
-    found = audit.kept_terms(spark.createDataFrame(docs, "lang STRING, source STRING, text STRING"), scratch)
-    assert {(r.lang, r.source, r.term): r.n for r in found.collect()} == {("en", "s0", "common"): 3, ("en", "s1", "common"): 2}
-    levels = {}
-    for n in (1, 3):
-        folder = f"{scratch.path}/{n:03d}-prefixes-{4 if n == 1 else 8}"
-        levels[n] = {(r.lang, bytes(r.prefix)) for r in spark.read.parquet(folder).collect()}
-    assert levels[1] == {("en", b"zzzz"), ("en", b"qqqq"), ("en", b"comm"), ("de", b"comm")}
-    assert levels[3] == {("en", b"common"), *(("en", f"zzzz{c}yyy".encode()) for c in "abc")}  # qqqq and de's comm are too rare
+    texts = spark.createDataFrame(docs, "lang STRING, source STRING, text STRING")
+    hashed = texts.select(F.xxhash64("lang").alias("lang"), F.xxhash64("lang", "source").alias("source"), "text")
+    groups = texts.select(F.xxhash64("lang").alias("lang"), F.xxhash64("lang", "source").alias("g"), F.concat_ws("/", "lang", "source").alias("name")).distinct()
+    found = audit.kept_terms(hashed, groups, scratch, first_width=4).join(groups, "g")
+    assert {(r.name, r.term): r.n for r in found.collect()} == {("en/s0", "common"): 3, ("en/s1", "common"): 2}
+    levels = []
+    for n, width in ((1, 4), (3, 8)):
+        levels.append({bytes(r.prefix): r.docs for r in spark.read.parquet(f"{scratch.path}/{n:03d}-prefixes-{width}").orderBy("docs").collect()})
+    assert levels[0] == {b"zzzz\0": 3, b"qqqq\0": 2, b"comm\0": 5}
+    assert levels[1] == {b"common": 3, **{f"zzzz{c}yyy\0".encode(): 1 for c in "abc"}}  # qqqq is too rare
 
 
 def test_empty_table(spark):
