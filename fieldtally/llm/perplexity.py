@@ -4,7 +4,8 @@ The model is trained on all trusted documents, per language: raw counts of the h
 bytes to the left) below it, three discounts per order and language from the counts of counts. All counts are
 grouped tables; probabilities are computed by joining them, order by order, for the distinct n-grams that documents have.
 
-``score`` does this with bytes, ``score_words`` with words; what follows holds for both, except that ``score_words`` takes its bound from held-out texts.
+``score_words`` does this with words (``word_model``) and takes its bound from held-out texts; ``score`` does it with bytes, as follows, for
+texts that have no words or are too small for a model of words.
 
 Texts are never shuffled. A block is an input file: one pass lists the distinct n-grams of each task's part of a block, their
 probabilities are joined to that list, dealt by block and written to the shared folder, and a last pass reads each
@@ -28,9 +29,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldtally.llm import shared_files
-from fieldtally.llm.scratch import Scratch
-from fieldtally.llm.words import RUN_BYTES, SPACED, mixed, runs, texts_of
+from fieldtally.llm import shared_files, word_model
+from fieldtally.llm.scratch import Scratch, shuffles_dropped
+from fieldtally.llm.words import RUN_BYTES, texts_of
+from fieldtally.workspace import drop_run
 
 LANGUAGES = ("en", "de", "fr", "es")
 ORDER = 4
@@ -272,157 +274,63 @@ def verdicts(scored: DataFrame, marks: DataFrame, scratch: Scratch) -> DataFrame
     )
 
 
-WORD_ORDER = 3
 HELD_OUT = 10  #: one of so many trusted texts is not trained on and gives the bound
-_WORDS = ("w2", "w1", "w0")
-
-
-def word_grams(column: pa.Array, label: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """For runs of texts: index of the first, the borders of the texts' words, and for each word the key of the n-gram that ends
-    there (its language and ``WORD_ORDER`` words) and those words' hashes, zeros before the text."""
-    for run in runs(column, SPACED):
-        own = run.hashes().view(np.int64)
-        place = np.arange(len(own)) - np.repeat(run.words[:-1], run.counts())
-        lang = np.repeat(label[run.first : run.first + run.n_texts], run.counts())
-        words = []
-        for back in range(WORD_ORDER - 1, -1, -1):
-            word = np.zeros_like(own)
-            word[back:] = own[: len(own) - back]
-            word[place < back] = 0
-            words.append(word)
-        key = mixed(lang.astype(np.uint64) + np.uint64(1))
-        for word in words:
-            key = mixed(key * np.uint64(0xD6E8FEB86659FD93) + word.view(np.uint64))
-        yield run.first, run.words, key.view(np.int64), words
-
-
-def _count_words(languages: Sequence[str]) -> Callable:
-    """Distinct n-grams of each batch by block, with how often trained texts have them (zero if only others do)."""
 
-    def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            label = labels_of(batch, languages)
-            blocks, trained = batch.column("block").to_numpy(), batch.column("trained").to_numpy(zero_copy_only=False)
-            for own_block in np.unique(blocks):
-                here = np.flatnonzero(blocks == own_block)
-                for first, borders, key, words in word_grams(batch.column("text").take(pa.array(here)), label[here]):
-                    at = here[first : first + len(borders) - 1]
-                    lang, use = (np.repeat(x[at], np.diff(borders)) for x in (label, trained))
-                    some = np.flatnonzero(lang >= 0)
-                    if not len(some):
-                        continue
-                    keys, index, place = np.unique(key[some], return_index=True, return_inverse=True)
-                    n = np.bincount(place, weights=use[some], minlength=len(keys)).astype(np.int64)
-                    index = some[index]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(keys), own_block, np.int64)), pa.array(keys), pa.array(lang[index]), *[pa.array(w[index]) for w in words], pa.array(n)],
-                        ["block", "key", "lang", *_WORDS, "n"],
-                    )
 
-    return run_batches
-
-
-def _score_words(folder: str, languages: Sequence[str]) -> Callable:
-    def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = BlockFiles(folder)
-        block, known, logs = None, None, None
-        for batch in batches:
-            label = labels_of(batch, languages)
-            blocks = batch.column("block").to_numpy()
-            total, size, n_words = np.zeros(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows, dtype=np.int64)
-            for own_block in np.unique(blocks):
-                here = np.flatnonzero(blocks == own_block)
-                if own_block != block:
-                    rows = model.read(int(own_block), ["key", "logp"])
-                    block, known, logs = own_block, np.zeros(0, np.int64), np.zeros(0)
-                    if rows is not None:
-                        known, at = np.unique(rows.column("key").to_numpy(), return_index=True)
-                        logs = rows.column("logp").to_numpy()[at]
-                texts = batch.column("text").take(pa.array(here))
-                size[here] = np.diff(texts_of(texts)[1])
-                for first, borders, key, _words in word_grams(texts, label[here]):
-                    at = here[first : first + len(borders) - 1]
-                    n_words[at] = np.diff(borders)
-                    some = np.flatnonzero((n_words[at] > 0) & (label[at] >= 0))
-                    if len(some):
-                        judged = np.repeat(label[at], np.diff(borders)) >= 0
-                        value = np.where(judged, logs[np.minimum(np.searchsorted(known, key), len(known) - 1)], 0.0)
-                        sums = np.concatenate(([0.0], np.cumsum(value)))
-                        total[at[some]] = (sums[borders[1:]] - sums[borders[:-1]])[some]
-            judged = (label >= 0) & (n_words > 0)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("th"), batch.column("lang"), batch.column("block"), pa.array(size),
-                    pa.array(-total / np.maximum(n_words, 1), mask=~judged),
-                ],
-                ["doc_id", "th", "lang", "block", "n_bytes", "log_perplexity"],
-            )
-
-    return run_batches
-
-
-def word_probabilities(counts: DataFrame, types: DataFrame, scratch: Scratch) -> DataFrame:
-    """(lang, w2, w1, w0, p) for the distinct n-grams ``types``, from the trusted counts (lang, w2, w1, w0, c). Below the
-    unigrams all words of the language's trusted texts, and one for all others, are equally likely."""
-    tables = {WORD_ORDER: counts}
-    for n in range(WORD_ORDER - 1, 0, -1):  # how many distinct words stand to the left
-        own = ["lang", *_WORDS[WORD_ORDER - n :]]
-        tables[n] = scratch.written(tables[n + 1].groupBy(*own).agg(F.count(F.lit(1)).alias("c")), f"words-{n}")
-    sizes = tables[1].groupBy("lang").agg((1 / (F.count(F.lit(1)) + 1)).alias("lower"))
-    p = None
-    for n in range(1, WORD_ORDER + 1):
-        own = ["lang", *_WORDS[WORD_ORDER - n :]]
-        asked = types if n == WORD_ORDER else types.select(*own).distinct()
-        d = scratch.written(discounts(tables[n], F.col("lang")), f"discounts-{n}")  # a row per language
-        cut = F.expr("CASE c WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END")
-        counted = tables[n].join(d, "lang").select(*own, "c", cut.alias("d"))
-        contexts = counted.groupBy(*own[:-1]).agg(F.sum("c").alias("total"), F.sum("d").alias("taken"))
-        rows = asked.join(counted, own, "left").join(contexts, own[:-1], "left")
-        rows = rows.join(sizes, "lang") if p is None else rows.join(p.withColumnRenamed("p", "lower"), ["lang", *own[2:]])
-        value = F.when(F.col("total").isNull(), F.col("lower")).otherwise(
-            (F.coalesce(F.greatest(F.col("c") - F.col("d"), F.lit(0.0)), F.lit(0.0)) + F.col("taken") * F.col("lower")) / F.col("total")
-        )
-        p = scratch.written(rows.select(*own, value.alias("p")), f"word-p-{n}")
-    return p
+def _from_files(docs: DataFrame) -> bool:
+    """Whether each row comes straight from a file, so that every pass finds it in the same place."""
+    return bool(docs.inputFiles()) and docs.select(F.input_file_name().alias("file")).where("file = ''").isEmpty()
 
 
 def score_words(
     docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", languages: Sequence[str] = LANGUAGES,
 ) -> DataFrame:
-    """As ``score``, but by n-grams of ``WORD_ORDER`` words, and per word. The tables grow with the text.
+    """As ``score``, but by n-grams of three words, and per word. The tables grow with the text; they are counted as ``word_model`` describes.
 
     A model of words knows what it was trained on far better than anything else, so a bound from trained texts would reject
     what is new: one of ``HELD_OUT`` trusted texts (all copies of it) is not trained on, and these give the bound. A language
-    without held-out texts is not judged."""
+    without held-out texts is not judged, and its texts have a perplexity if any text of it was trained on. Texts with a NULL language have none."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "word-perplexity")
-    if not docs.inputFiles():
-        docs = scratch.written(docs, "docs")
-    body = F.col(f"`{text}`").cast("string")
-    rows = docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"), body.alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"),
-        F.xxhash64(F.input_file_name()).alias("block"),
-    ).withColumn("th", F.xxhash64("doc_id", "text"))
-    good = trusted.select(F.col("doc_id").alias("doc_id")).distinct().withColumn("good", F.lit(True))
-    held = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(HELD_OUT)) == 0
-    marked = rows.join(good, "doc_id", "left").withColumn("good", F.coalesce("good", F.lit(False)))
-    kind = f"block long, key long, lang long, {', '.join(f'{w} long' for w in _WORDS)}, n long"
-    given = marked.select("text", "lang", "block", (F.col("good") & ~F.coalesce(held, F.lit(False))).alias("trained"))
-    found = scratch.written(given.mapInArrow(_count_words(languages), kind), "grams")
-    grams_of = ["lang", *_WORDS]
-    types = scratch.written(found.groupBy("key", *grams_of).agg(F.sum("n").alias("c")), "types")
-    p = word_probabilities(types.where("c > 0").drop("key"), types.select("key", *grams_of), scratch)
-    logs = types.join(p, grams_of).select("key", F.log("p").alias("logp"))
-    dealt = found.select("block", "key").distinct().join(logs, "key")
-    folder = scratch.folder("scores")
-    dealt.repartition("block").sortWithinPartitions("block", "key").write.option("compression", "zstd").partitionBy("block").parquet(folder)
-    schema = T.StructType().add("doc_id", rows.schema["doc_id"].dataType).add("th", "long").add("lang", "string")
-    schema = schema.add("block", "long").add("n_bytes", "long").add("log_perplexity", "double")
-    languages_known = [r["lang"] for r in types.where("c > 0").select("lang").distinct().collect()]  # a row per language
-    named = [x if k in languages_known else None for k, x in enumerate(languages)]
-    scored = scratch.written(rows.mapInArrow(_score_words(folder, named), schema), "scored")
-    marks = marked.where(F.col("good") & held).select("th").distinct()
-    return verdicts(scored, marks, scratch)
+    with shuffles_dropped(spark):
+        if not _from_files(docs):
+            docs = scratch.written(docs, "docs")
+        body = F.col(f"`{text}`").cast("string")
+        rows = docs.select(
+            F.col(f"`{doc_id}`").alias("doc_id"), body.alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"),
+            F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("block"),
+        ).withColumn("th", F.xxhash64("doc_id", "text"))
+        held = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(HELD_OUT)) == 0
+        good = trusted.select(F.col("doc_id").alias("good")).distinct()
+        known = rows.select("doc_id", "th", "block", held.alias("held")).join(good, F.col("doc_id") == F.col("good"), "left_semi")
+        known = scratch.written(known.select("th", "block", "held").distinct(), "known")
+        trusted_folder = scratch.folder("trusted")
+        known.where("not held").select("th", "block").repartition("block").write.partitionBy("block").parquet(trusted_folder)
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(1, -(-size // word_model.SHARD_BYTES))
+
+        given, folders, levels = rows.select("text", "lang", "block", "th"), {}, {}
+        for order in word_model.ORDERS:
+            asked = given.mapInArrow(word_model.ask(order, languages, shards, trusted_folder, dict(folders)), word_model.REQUEST)
+            answers = asked.groupBy("shard").applyInArrow(word_model.answer, word_model.ANSWER)
+            folder = scratch.folder(f"answers-{order}")
+            answers.repartition("block").write.partitionBy("block").parquet(folder)
+            folders = {order: folder}  # each pass needs what the one before was answered
+            levels[order] = folder
+        models = {k: {} for k in range(len(languages))}
+        for order, folder in levels.items():
+            if known_any(spark, folder):
+                sums = [F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "types", "total")]
+                own = F.floor(F.col("shard") / shards).cast("int").alias("own")
+                for r in spark.read.schema(word_model.ANSWER).parquet(folder).groupBy(own).agg(*sums).collect():  # a row per language
+                    models[r["own"]][order] = word_model.Level(*[r[c] for c in ("n1", "n2", "n3", "n4", "types", "total")])
+        models = {k: m for k, m in models.items() if 1 in m and m[1].total}
+        schema = T.StructType().add("doc_id", rows.schema["doc_id"].dataType).add("th", "long").add("lang", "string")
+        schema = schema.add("block", "long").add("n_bytes", "long").add("log_perplexity", "double")
+        scored = scratch.written(rows.select("doc_id", "text", "lang", "block", "th").mapInArrow(word_model.score(languages, shards, levels, models), schema), "scored")
+        for folder in levels.values():
+            drop_run(spark, folder)
+        return verdicts(scored, known.where("held").select("th").distinct(), scratch)
 
 
 def known_any(spark, folder: str) -> bool:

@@ -71,7 +71,7 @@ def labelled_urls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_association_urls(spark: SparkSession, sf: str) -> DataFrame:
-    return urlrules.judge(table(spark, sf, "pages"), labelled_urls(spark, sf), by_lift=True)
+    return urlrules.judge(table(spark, sf, "pages"), labelled_urls(spark, sf), significant=True)
 
 
 def op6_hypergeometric_shards(spark: SparkSession, sf: str) -> DataFrame:

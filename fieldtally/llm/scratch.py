@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +40,24 @@ class Scratch:
         return self.spark.read.schema(rows.schema).parquet(path)
 
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of each query inside when the query ends, instead of whenever the driver's garbage is collected.
+    For jobs that write every intermediate table once and read it from there."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 def as_structs(docs: DataFrame, name: str = "doc") -> DataFrame:
     """Each row as one struct column, so that no column of the input meets one of ours."""
     from pyspark.sql import functions as F

@@ -1,7 +1,10 @@
-"""Rules by lift: on the given tables, and only those that are surely above the share of bad URLs."""
+"""Significant rules: planted ones are found, chance gives none, and neither shared tokens nor repeated URLs multiply rules."""
 
+import itertools
 import math
 import os
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,33 +13,111 @@ from fieldtally.llm import queries, urlrules
 from fieldtally.llm.scratch import Scratch
 
 TABLES = "/root/testdata/sf0.1"
+SCHEMA = "tokens ARRAY<STRING>, bad BOOLEAN"
 
 
-def lower_end(k, n, z=1.96):
-    p = k / n
-    return (p + z * z / 2 / n - z * math.sqrt(p * (1 - p) / n + z * z / 4 / n / n)) / (1 + z * z / n)
+def mined(spark, rows):
+    return urlrules.significant_rules(spark.createDataFrame(rows, SCHEMA), Scratch(spark, "t"))
+
+
+def planted(n=1500, seed=4):
+    """Farm hosts and casino paths with a query from a feed are bad, others one time in five."""
+    rng, rows = random.Random(seed), []
+    for k in range(n):
+        host, part, query = rng.choice(["good", "fine", "farm", "mixed"]), rng.choice(["news", "casino", "x"]), rng.choice(["", "?ref=feed", "?p=1"])
+        bad = rng.random() < (0.95 if host == "farm" or (part == "casino" and query == "?ref=feed") else 0.2)
+        rows.append((f"http://{host}.example.org/{part}/{k}{query}", bad))
+    return rows
 
 
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="needs the given tables")
-def test_rules_decide_urls_of_the_given_tables(spark):
-    known = queries.labelled_urls(spark, TABLES).select(urlrules.tokens_of(F.col("url")).alias("tokens"), "bad").collect()
-    frame = spark.createDataFrame(known)
-    rules = urlrules.mined_rules(frame, Scratch(spark, "t"), by_lift=True).collect()
-    base = sum(r.bad for r in known) / len(known)
-    assert rules
-    for rule in rules:
-        own = [r.bad for r in known if set(rule.tokens) <= set(r.tokens)]
-        assert sum(own) >= urlrules.LIFT_URLS and lower_end(sum(own), len(own)) > base
+def test_labels_of_the_given_tables_explain_no_rule(spark):
+    """The labels there do not depend on URLs: no combination is rarer by chance than the number of combinations allows."""
+    known = urlrules.known_urls(queries.labelled_urls(spark, TABLES))
+    rules, _ = urlrules.significant_rules(known.select("tokens", "bad"), Scratch(spark, "t"))
+    assert known.count() > 900 and rules.isEmpty()
     judged = queries.op5_association_urls(spark, TABLES)
-    mined = judged.where("confidence is not null and rule is null")
-    print("rules", len(rules), "hit", judged.where("confidence is not null").count(), "decided", mined.count())
-    assert mined.count() and mined.where("verdict != 'block'").isEmpty()
+    assert judged.where("rule is null and verdict != 'allow'").isEmpty() and judged.count() == 2500
+
+
+def test_planted_rules_decide_urls_and_hold_on_other_urls(spark):
+    rows = planted()
+    labelled = spark.createDataFrame(rows, "url STRING, bad BOOLEAN")
+    known = urlrules.known_urls(labelled)
+    rules, items = urlrules.significant_rules(known.select("tokens", "bad"), Scratch(spark, "t"))
+    found = {frozenset(r.tokens): r for r in rules.collect()}
+    assert frozenset(["h:farm"]) in found and frozenset(["p:casino", "q:ref=feed"]) in found
+    tokens = [(set(r.tokens), r.bad) for r in known.collect()]
+    base = sum(b for _, b in tokens) / len(tokens)
+    tried = count_combinations(tokens, items, base)
+    for own, r in found.items():
+        hit = [b for t, b in tokens if own <= t]
+        x, n = sum(hit), len(hit)
+        assert r.n == n and r.confidence == pytest.approx(x / n) and r.support == pytest.approx(x / len(tokens))
+        q = x / n
+        kl = q * math.log(q / base) + ((1 - q) * math.log((1 - q) / (1 - base)) if q < 1 else 0)
+        assert q > max(base, urlrules.MIN_CONFIDENCE) and n * kl >= math.log(tried / urlrules.ALPHA) - 1e-9
+    assert not any(own <= {"h:good", "h:fine", "p:news", "p:x", "h:example", "h:org"} for own in found)
+    total, bad, blocked, blocked_bad = urlrules.held_out(labelled, Scratch(spark, "t"))
+    assert (total, bad) == (1500, sum(b for _, b in rows)) and blocked > 400 and blocked_bad / blocked > 0.75 > 1.5 * base
+    pages = spark.createDataFrame([(n, u) for n, (u, _) in enumerate(rows)], "page_id LONG, url STRING")
+    verdicts = urlrules.judge(pages, labelled, significant=True).collect()
+    assert sum(r.verdict == "block" for r in verdicts) > 400 and all(r.verdict == "block" for r in verdicts if "farm." in r.host)
+    assert all((r.verdict == "block") == (r.confidence is not None) for r in verdicts)
+
+
+def count_combinations(tokens, items, base):
+    """All combinations in at least so many URLs that so many items, all their URLs bad, would hardly be chance."""
+    item_of = {r.token: r.item for r in items.collect()}
+    sets = [frozenset(item_of.get(t, t) for t in own) for own, _ in tokens]
+    singles = Counter(t for s in sets for t in s)
+    least = next(k for k in range(1, 10**6) if sum(n >= k for n in singles.values()) * base**k <= urlrules.ALPHA)
+    assert {t for t, n in singles.items() if n >= least} == set(item_of.values())
+    sets = [s & set(item_of.values()) for s in sets]
+    counts = Counter(c for s in sets for size in range(1, len(s) + 1) for c in itertools.combinations(sorted(s), size))
+    return sum(n >= least for n in counts.values())
+
+
+def test_shuffled_labels_give_no_rule(spark):
+    rows = planted(600)
+    tokens = spark.createDataFrame(rows, "url STRING, bad BOOLEAN").select(urlrules.tokens_of(F.col("url")).alias("t")).collect()
+    some = 0
+    for seed in range(6):
+        bad = [b for _, b in rows]
+        random.Random(seed).shuffle(bad)
+        some += not mined(spark, [(r.t, b) for r, b in zip(tokens, bad, strict=True)])[0].isEmpty()
+    assert some <= 1
 
 
 def test_chance_gives_no_rule(spark):
     rows = [(["h:a", f"p:{k}"] if k % 2 else ["h:b", f"p:{k}"], k % 4 < 2) for k in range(2000)]
-    frame = spark.createDataFrame(rows, "tokens ARRAY<STRING>, bad BOOLEAN")
-    assert urlrules.mined_rules(frame, Scratch(spark, "t"), by_lift=True).isEmpty()
+    assert mined(spark, rows)[0].isEmpty()
     rare = [(["h:spam", f"p:s{k}"], True) for k in range(6)]
-    found = urlrules.mined_rules(spark.createDataFrame(rows + rare, frame.schema), Scratch(spark, "t"), by_lift=True)
-    assert [r.tokens for r in found.collect()] == [["h:spam"]]
+    assert [r.tokens for r in mined(spark, rows + rare)[0].collect()] == [["h:spam"]]
+
+
+def test_tokens_of_the_same_urls_are_one_item(spark):
+    """25 tokens that five bad URLs share, and a template of 40 that many share, are two items and not 2 ** 25 rules."""
+    shared, template = [f"p:s{k:02}" for k in range(25)], [f"q:t{k:02}" for k in range(40)]
+    rows = [([*shared, f"p:{n}"], True) for n in range(5)] + [([*template, f"p:t{n}"], True) for n in range(60)]
+    rows += [(["h:other", f"p:o{n}"], n % 10 == 0) for n in range(900)]
+    rules, items = mined(spark, rows)
+    assert sorted((r.tokens, r.n) for r in rules.collect()) == [(["p:s00"], 5), (["q:t00"], 60)]
+    assert {r.token for r in items.where("item = 'q:t00'").collect()} == set(template)
+    # any token of an item stands for it, as each of the equal rules did
+    labelled = [(f"http://a.com/{n}?" + "&".join(t[2:] for t in template), True) for n in range(60)] + [(f"http://b.com/o{n}", n % 10 == 0) for n in range(900)]
+    pages = spark.createDataFrame([(1, "http://c.com/x?t07"), (2, "http://c.com/x?none"), (3, None), (3, None)], "page_id LONG, url STRING")
+    found = urlrules.judge(pages, spark.createDataFrame(labelled, "url STRING, bad BOOLEAN"), significant=True).collect()
+    assert sorted((r.page_id, r.verdict) for r in found) == [(1, "block"), (2, "allow"), (3, "allow"), (3, "allow")]
+
+
+def test_repeated_urls_count_once(spark):
+    labelled = [("http://farm.com/x", True)] * 50 + [(f"http://good.com/{n}", n % 9 == 0) for n in range(400)] + [("http://good.com/1", None), (None, True)]
+    pages = spark.createDataFrame([(1, "http://farm.com/y")], "page_id LONG, url STRING")
+    found = urlrules.judge(pages, spark.createDataFrame(labelled, "url STRING, bad BOOLEAN"), significant=True).first()
+    assert found.verdict == "allow"
+
+
+@pytest.mark.parametrize("rows", [[], [(["h:a"], True)] * 30, [(["h:a"], False)] * 30, [([], True), ([], False)], [(["h:a"], None), (["h:b"], True)]])
+def test_nothing_to_compare(spark, rows):
+    assert mined(spark, rows)[0].isEmpty()
