@@ -4,7 +4,7 @@ Texts are cut into chunks of about ``CHUNK_BYTES``, which every pass finds anew
 in the same order each time. A pass over the texts lists each chunk's distinct n-grams of one order, sorted, in pieces by range of their keys;
 a shard joins the pieces of one range from all chunks, sums what the trained texts of the chunks contribute, and answers each piece with
 the sums for its n-grams. Answers carry no keys: the next pass lists the same n-grams again and reads the answers beside them. So an n-gram
-costs some five bytes in the shuffle (sorted keys, five low bytes and packed differences of the rest) and less than a byte on disk.
+costs some five bytes in the shuffle (sorted keys, low bytes and packed steps of the rest) and a fraction of a byte on disk.
 
 There is one pass per order, from the longest to words. With its answer for an n-gram a chunk learns the count and whether it is the first
 chunk to have it trained; that one chunk passes the n-gram on to the next shorter order: it adds one to the distinct words to the left of its last words, and
@@ -24,15 +24,18 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 
 from fieldtally.llm import shared_files
-from fieldtally.llm.words import SPACED, mixed, runs, texts_of
+from fieldtally.llm.words import SPACED, mixed, quick_hashes, runs, texts_of
 
 CHUNK_BYTES = 8 << 20
 SHARD_BYTES = 16 << 20
 ORDERS = (3, 2, 1)
-LOW_BYTES = 5
+COLUMNS = {3: 1, 2: 5, 1: 5}  #: numbers that a chunk contributes, and is answered, for each n-gram of an order
+KEY_BITS = 56  #: two of ten thousand million n-grams are taken for one about seven hundred times, and a text's n-gram for another once in seven million
+LOW_BYTES = 4
 REQUEST = "shard int, block long, chunk int, keys binary, sums binary"
 ANSWER = "block long, chunk int, shard int, found binary, n1 long, n2 long, n3 long, n4 long, types long, total long"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_DROPPED = np.uint64(64 - KEY_BITS)
 _CODEC = "zstd"
 
 
@@ -60,21 +63,62 @@ def parted(data: bytes) -> list[bytes]:
     return out
 
 
+#: How many bits each of so many columns has in the bytes that hold them.
+LAYOUT = {1: ((8,),), 5: ((3, 3, 2), (2, 2))}
+
+
+def packed_columns(columns: Sequence[np.ndarray]) -> bytes:
+    """Columns of mostly small numbers, which go together: some share a byte, and those too large for their bits follow."""
+    parts, rest = [], iter(columns)
+    for bits in LAYOUT[len(columns)]:
+        byte, at = np.zeros(len(columns[0]), dtype=np.uint8), 0
+        for b in bits:
+            column, most = next(rest), (1 << b) - 1
+            byte |= np.minimum(column, most).astype(np.uint8) << np.uint8(at)
+            parts.append(packed(column[column >= most]))
+            at += b
+        parts.append(packed(byte))
+    return joined(parts)
+
+
+def unpacked_columns(data: bytes, n: int) -> list[np.ndarray]:
+    parts, out = parted(data), []
+    for bits in LAYOUT[n]:
+        byte, at = unpacked(parts[len(bits)]), 0
+        for k, b in enumerate(bits):
+            column = byte >> at & (1 << b) - 1
+            column[column == (1 << b) - 1] = unpacked(parts[k])
+            out.append(column)
+            at += b
+        parts = parts[len(bits) + 1 :]
+    return out
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
-    """Ascending 64-bit keys."""
+    """Ascending keys: low bytes as they are, and the steps of what is above them."""
     low = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES])
     high = (keys >> np.uint64(8 * LOW_BYTES)).astype(np.int64)
-    return joined([low.tobytes(), packed(high[:1]), packed(np.diff(high))])
+    return joined([low.tobytes(), packed(high[:1]), packed_columns([np.diff(high)])])
 
 
 def unpacked_keys(data: bytes) -> np.ndarray:
     low, first, steps = parted(data)
-    high = np.cumsum(np.concatenate((unpacked(first), unpacked(steps)))).astype(np.uint64)
+    high = np.cumsum(np.concatenate((unpacked(first), *unpacked_columns(steps, 1)))).astype(np.uint64)
     out = np.zeros((len(low) // LOW_BYTES, 8), dtype=np.uint8)
     out[:, :LOW_BYTES] = np.frombuffer(low, dtype=np.uint8).reshape(-1, LOW_BYTES)
     return out.reshape(-1).view("<u8") + (high << np.uint64(8 * LOW_BYTES))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, a place of each, and where each key is among them."""
+    order = np.argsort(keys)
+    ascending = keys[order]
+    new = np.append(True, ascending[1:] != ascending[:-1])[: len(keys)]
+    at = np.empty(len(keys), dtype=np.int64)
+    at[order] = np.cumsum(new) - 1
+    return ascending[new], order[new], at
+
+
 @dataclass
 class Chunk:
     """Some consecutive rows of a block."""
@@ -125,8 +169,8 @@ class Grams:
         self.start_pair = mixed(self.start * _STEP + self.start)
         before_pair = self._shifted(pair, place, self.start_pair)
         # of each order: the n-gram that ends at each word, and its context
-        self.key = {1: word, 2: pair, 3: mixed(before_pair * _STEP + word)}
-        self.context = {2: before, 3: before_pair}
+        self.key = {n: key >> _DROPPED for n, key in ((1, word), (2, pair), (3, mixed(before_pair * _STEP + word)))}
+        self.context = {2: before >> _DROPPED, 3: before_pair >> _DROPPED}
         self._known = {}
 
     @staticmethod
@@ -137,11 +181,11 @@ class Grams:
 
     def keys(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct n-grams, ascending, with those that only begin texts; where each n-gram of the texts is among
-        them; and where each first occurs in the texts (0 for those that do not)."""
+        them; and a place where each occurs in the texts (0 for those that do not)."""
         if order not in self._known:
             own = self.key[order]
-            more = {1: self.start, 2: self.start_pair, 3: own[:0]}[order] if len(own) else own
-            keys, first, at = np.unique(np.concatenate((own, more)), return_index=True, return_inverse=True)
+            more = {1: self.start >> _DROPPED, 2: self.start_pair >> _DROPPED, 3: own[:0]}[order] if len(own) else own
+            keys, first, at = distinct(np.concatenate((own, more)))
             self._known[order] = keys, at[: len(own)], np.where(first < len(own), first, 0)
         return self._known[order]
 
@@ -226,9 +270,9 @@ class Answers:
     def of(self, chunk: Chunk, lang: int, order: int, keys: np.ndarray) -> list[np.ndarray]:
         if chunk.block != self.block:
             self._read(chunk.block)
-        found = [[] for _ in range(1 if order == ORDERS[0] else 5)]
+        found = [[] for _ in range(COLUMNS[order])]
         for shard, piece in pieces(keys, lang, self.shards):
-            parts = [unpacked(p) for p in parted(self.rows[order, chunk.number, shard])]
+            parts = unpacked_columns(self.rows[order, chunk.number, shard], COLUMNS[order])
             if len(parts[0]) != piece.stop - piece.start:
                 raise ValueError("the rows of a block have changed between two passes")
             for own, part in zip(found, parts, strict=True):
@@ -238,7 +282,7 @@ class Answers:
 
 def pieces(keys: np.ndarray, lang: int, shards: int) -> Iterator[tuple[int, slice]]:
     """Shards of a language are ranges of equal width of its keys."""
-    shard = ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+    shard = ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(shards)) >> np.uint64(32)
     borders = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
     for n in np.flatnonzero(np.diff(borders)).tolist():
         yield lang * shards + n, slice(int(borders[n]), int(borders[n + 1]))
@@ -250,7 +294,7 @@ def chunk_grams(chunk: Chunk, trained: np.ndarray, languages: Sequence[str]) ->
     label = np.array([place_of.get(x, -1) if x is not None else -1 for x in chunk.rows.column("lang").to_pylist()], dtype=np.int64)
     words, counts = [], []
     for run in runs(chunk.rows.column("text"), SPACED):
-        words.append(run.hashes())
+        words.append(quick_hashes(run))
         counts.append(run.counts())
     words, counts = np.concatenate(words), np.concatenate(counts)
     text = np.repeat(np.arange(len(label)), counts)
@@ -291,7 +335,7 @@ def ask(order: int, languages: Sequence[str], shards: int, trusted_folder: str,
                     sums = grams.passed_on(order + 1, answers.of(chunk, lang, order + 1, grams.keys(order + 1)[0]))
                 keys, rows = grams.keys(order)[0], []
                 for shard, piece in pieces(keys, lang, shards):
-                    rows.append((shard, chunk.block, chunk.number, packed_keys(keys[piece]), joined([packed(s[piece]) for s in sums])))
+                    rows.append((shard, chunk.block, chunk.number, packed_keys(keys[piece]), packed_columns([s[piece] for s in sums])))
                 kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
                 columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else None
                 if columns:
@@ -300,13 +344,21 @@ def ask(order: int, languages: Sequence[str], shards: int, trusted_folder: str,
     return run_batches
 
 
-def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def answer(order: int) -> Callable:
     """One shard: the sums of all chunks, given back to each chunk for its n-grams. The lowest bit of the first sum marks the first
     chunk that adds to it."""
+
+    def run_group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return _answers(key[0].as_py(), table, COLUMNS[order])
+
+    return run_group
+
+
+def _answers(shard: int, table: pa.Table, columns: int) -> pa.Table:
     table = table.sort_by([("block", "ascending"), ("chunk", "ascending")])
     keys = [unpacked_keys(x.as_py()) for x in table.column("keys")]
-    sums = [[unpacked(p) for p in parted(x.as_py())] for x in table.column("sums")]
-    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = [unpacked_columns(x.as_py(), columns) for x in table.column("sums")]
+    _, _, at = distinct(np.concatenate(keys))
     n, sizes = int(at.max()) + 1, np.array([len(k) for k in keys])
     totals = []
     for parts in zip(*sums, strict=True):
@@ -324,13 +376,13 @@ def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         own = slice(borders[k], borders[k + 1])
         parts = [total[at[own]] for total in totals]
         parts[0] = parts[0] * 2 + first[own]
-        found.append(joined([packed(p) for p in parts]))
+        found.append(packed_columns(parts))
     classes = [int((totals[0] == c).sum()) for c in (1, 2, 3, 4)]
     stats = [*classes, int((totals[0] > 0).sum()), int(totals[0].sum())]
     rest = len(keys) - 1
     return pa.table(
         {
-            "block": table.column("block"), "chunk": table.column("chunk"), "shard": pa.array([key[0].as_py()] * len(keys), pa.int32()),
+            "block": table.column("block"), "chunk": table.column("chunk"), "shard": pa.array([shard] * len(keys), pa.int32()),
             "found": pa.array(found, pa.binary()),
             **{name: pa.array([x] + [0] * rest, pa.int64()) for name, x in zip(("n1", "n2", "n3", "n4", "types", "total"), stats, strict=True)},
         }

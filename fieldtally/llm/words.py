@@ -82,6 +82,26 @@ class Run:
         return mixed(np.add.reduceat(parts, begin) + lengths.astype(np.uint64))
 
 
+_TAILS = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
+
+
+def quick_hashes(run: Run) -> np.ndarray:
+    """As ``Run.hashes``, other values, from eight bytes of each word at once."""
+    lengths = run.ends - run.starts
+    out = mixed(lengths.astype(np.uint64))
+    if not len(lengths):
+        return out
+    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate((run.data, np.zeros(8, np.uint8))), 8)
+    here, at, left = slice(None), run.starts, lengths
+    while len(at):
+        letters = np.ascontiguousarray(eight[at]).view("<u8").ravel() & _TAILS[np.minimum(left, 8)]
+        out[here] = mixed((out[here] ^ letters) * _STEP)
+        more = np.flatnonzero(left > 8)
+        here = more if isinstance(here, slice) else here[more]
+        at, left = at[more] + 8, left[more] - 8
+    return out
+
+
 def grams(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` consecutive words, across the borders of texts too."""
     if len(words) < n:

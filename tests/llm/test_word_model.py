@@ -10,7 +10,7 @@ from fieldtally.llm import perplexity, word_model
 from test_languages_and_quality import frame
 from test_word_perplexity import plain, texts
 
-WIDE = st.integers(0, (1 << 64) - 1)
+WIDE = st.integers(0, (1 << word_model.KEY_BITS) - 1)
 
 
 @settings(max_examples=100, deadline=None)
@@ -19,6 +19,12 @@ def test_packing_round_trips(keys, values):
     keys = np.array(sorted(keys), dtype=np.uint64)
     assert (word_model.unpacked_keys(word_model.packed_keys(keys)) == keys).all()
     assert word_model.unpacked(word_model.packed(np.array(values, dtype=np.int64))).tolist() == values
+    five = [np.array(values, dtype=np.int64) % m for m in (5, 1 << 60, 9, 7, 2)]
+    assert [c.tolist() for c in word_model.unpacked_columns(word_model.packed_columns(five), 5)] == [c.tolist() for c in five]
+    assert word_model.unpacked_columns(word_model.packed_columns(five[1:2]), 1)[0].tolist() == five[1].tolist()
+    some = np.array([v % 7 for v in values], dtype=np.uint64)
+    own, place, at = word_model.distinct(some)
+    assert own.tolist() == sorted(set(some.tolist())) and (own[at] == some).all() and (some[place] == own).all()
     for shards in (1, 3, 100):
         found = list(word_model.pieces(keys, 2, shards))
         assert np.concatenate([keys[p] for _, p in found]).tolist() == keys.tolist()
@@ -26,8 +32,22 @@ def test_packing_round_trips(keys, values):
 
 
 def test_keys_take_few_bytes():
-    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1_000_000, dtype=np.uint64) * np.uint64(2))
-    assert len(word_model.packed_keys(keys)) < 6 * len(keys)
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << word_model.KEY_BITS, 300_000, dtype=np.uint64))
+    assert len(word_model.packed_keys(keys)) < 5.1 * len(keys)
+
+
+def test_quick_hashes():
+    """Equal words have equal hashes wherever they stand, others differ."""
+    from fieldtally.llm import words
+
+    rng = np.random.default_rng(3)
+    own = ["x" * n for n in range(1, 40)] + ["ab" * n for n in range(1, 20)] + ["é", "e\u0301", "中" * 5] + [rng.bytes(6).hex() for _ in range(300)]
+    texts = [" ".join(rng.permutation(own)) for _ in range(3)] + ["", None, "ab"]
+    found = {}
+    for run in words.runs(pa.array(texts), words.SPACED, lower=False):
+        for s, e, h in zip(run.starts, run.ends, words.quick_hashes(run), strict=True):
+            assert found.setdefault(bytes(run.data[s:e]), int(h)) == int(h)
+    assert len(set(found.values())) == len(found) == len(set(own))
 
 
 @pytest.mark.parametrize("cuts", [[1], [3, 4], [7, 1, 1, 90]])
