@@ -113,9 +113,15 @@ def avg_step(
     """Mean step length per sliding window.
 
     The divisor is the number of rows, and the first row of a window has step 0. Rows are
-    summed once per pane (the common divisor of size and slide) and never copied into
-    overlapping windows; a window then adds up its few panes and the steps between them.
+    summed once per pane (the common divisor of size and slide), and neither rows nor panes are copied into
+    overlapping windows (``combine_panes``).
     """
+    return combine_panes(pane_summaries(positions, keys, size, slide), keys, size, slide)
+
+
+def pane_summaries(positions: DataFrame, keys: Sequence[str], size: str, slide: str) -> DataFrame:
+    """Per pane (the common divisor of size and slide) and key the rows ``n``, the length ``inner`` of the way through
+    them, and the first and last place; a pane may have several pieces, in the order of (``_slice``, ``_part``)."""
     keys = list(keys)
     pane = gcd(micros(size), micros(slide))
     rows = positions.select(*keys, *ORDER, F.col("x").cast("double"), F.col("y").cast("double")).where(
@@ -133,37 +139,68 @@ def avg_step(
         (F.row_number().over(inside) == 1).alias("is_first"),
         F.lead("_part").over(inside).isNull().alias("is_last"),
     )
-    summary = steps.groupBy(*keys, *PIECE).agg(
+    return steps.groupBy(*keys, *PIECE).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(distance(F.col("x0"), F.col("y0"), F.col("x"), F.col("y"))).alias("inner"),
         *[F.max(F.when(F.col("is_first"), F.col(c))).alias(f"first_{c}") for c in ("x", "y")],
         *[F.max(F.when(F.col("is_last"), F.col(c))).alias(f"last_{c}") for c in ("x", "y")],
     )
-    return combine_panes(summary, keys, size, slide)
 
 
 def combine_panes(summary: DataFrame, keys: Sequence[str], size: str, slide: str) -> DataFrame:
-    """Windows from pane summaries: steps inside panes plus steps from pane to pane."""
-    pane, length, step = F.col("_slice"), F.lit(micros(size)), F.lit(micros(slide))
-    earliest = pane - length - F.pmod(pane - length, step) + step
-    latest = pane - F.pmod(pane, step)
-    # NULL, hence no row, for a pane in the gap between windows that slide further than they are long
-    starts = F.when(earliest <= latest, F.sequence(earliest, latest, step))
-    panes = summary.withColumn("start", F.explode(starts))
-    window = across_pieces([*keys, "start"])
-    bridge = distance(
-        F.lag("last_x").over(window), F.lag("last_y").over(window), F.col("first_x"), F.col("first_y")
+    """Windows from pane summaries: steps inside panes plus steps from pane to pane.
+
+    Time is cut into blocks as long as a window, so a window is the end of one block and the beginning of the next. Sums
+    from each pane to the end of its block, and from the block's beginning to each pane, are taken once; a window gets the one of its first pane
+    and the other of its last pane. So there are two rows per window and none per pane of a window, however many panes a window has,
+    and no sum is longer than a window.
+    """
+    keys, length, step = list(keys), F.lit(micros(size)), F.lit(micros(slide))
+    at = F.col("_slice")
+    panes = summary.withColumn("_block", at - F.pmod(at, length))
+    block = [*keys, "_block"]
+    onward = W.partitionBy(*block).orderBy(*PIECE)
+    back = W.partitionBy(*block).orderBy(*[F.desc(c) for c in PIECE])
+    bridge = distance(F.lag("last_x").over(onward), F.lag("last_y").over(onward), F.col("first_x"), F.col("first_y"))
+    panes = panes.withColumn("_before", F.lag(at).over(onward)).withColumn("_after", F.lead(at).over(onward)).withColumn("bridge", bridge)
+    panes = panes.withColumn("to_here", F.struct(F.sum("n").over(onward).alias("n"), F.sum(F.col("inner") + F.col("bridge")).over(onward).alias("walked")))
+    following = F.coalesce(F.lag("bridge").over(back), F.lit(0.0))
+    panes = panes.withColumn("following", following).withColumn(
+        "from_here", F.struct(F.sum("n").over(back).alias("n"), F.sum(F.col("inner") + F.col("following")).over(back).alias("walked"))
     )
-    return (
-        panes.withColumn("bridge", bridge)
-        .groupBy(*keys, "start")
-        .agg(((F.sum("inner") + F.sum("bridge")) / F.sum("n")).alias("avg_step"))
-        .select(
-            *keys,
-            F.timestamp_micros("start").alias("window_start"),
-            F.timestamp_micros(F.col("start") + length).alias("window_end"),
-            "avg_step",
-        )
+    # a row per key and block: its ends, and the pane beside each end
+    ends = [F.struct(at.alias("at"), F.col("_part"), F.col(f"{end}_x").alias("x"), F.col(f"{end}_y").alias("y")) for end in ("first", "last")]
+    blocks = panes.groupBy(*block).agg(F.min(ends[0]).alias("_first"), F.max(ends[1]).alias("_last"))
+    over = W.partitionBy(*keys).orderBy("_block")
+    blocks = blocks.select(*block, "_first", "_last", F.lag("_last.at").over(over).alias("_earlier"), F.lead("_first.at").over(over).alias("_later"))
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"b.{c}")) for c in block]  # a NULL key is a key
+    panes = panes.alias("p").join(blocks.alias("b"), same).select(
+        *[F.col(f"p.{c}").alias(c) for c in block], "_slice", "to_here", "from_here", "_first", "_last",
+        F.coalesce("_before", "_earlier").alias("_before"), F.coalesce("_after", "_later").alias("_after"),
+    )
+
+    def starts(low: Column, high: Column) -> Column:
+        """Window starts above ``low`` and up to ``high``; NULL, hence no row, if there is none."""
+        least, most = low - F.pmod(low, step) + step, high - F.pmod(high, step)
+        return F.when(least <= most, F.sequence(least, most, step))
+
+    since = F.greatest("_before", at - length)  # windows whose first pane this is
+    until = F.least(at, F.col("_after") - length)  # windows whose last pane this is
+    empty = F.lit(None)
+    heads = panes.select(*keys, F.explode(starts(since, at)).alias("start"), F.struct("_block", "_last", "from_here").alias("head"), empty.alias("tail"))
+    tails = panes.select(*keys, F.explode(starts(at - length, until)).alias("start"), empty.alias("head"), F.struct("_block", "_first", "to_here").alias("tail"))
+    windows = heads.union(tails).groupBy(*keys, "start").agg(F.max("head").alias("h"), F.max("tail").alias("t"))
+    apart = F.col("h._block") != F.col("t._block")
+    whole = F.col("t._block") >= F.col("start")  # the only block begins in the window
+    between = distance(F.col("h._last.x"), F.col("h._last.y"), F.col("t._first.x"), F.col("t._first.y"))
+    joined = {c: F.col(f"h.from_here.{c}") + F.col(f"t.to_here.{c}") for c in ("n", "walked")}
+    alone = {c: F.when(whole, F.col(f"t.to_here.{c}")).otherwise(F.col(f"h.from_here.{c}")) for c in ("n", "walked")}
+    mean = F.when(apart, (joined["walked"] + between) / joined["n"]).otherwise(alone["walked"] / alone["n"])
+    return windows.select(
+        *keys,
+        F.timestamp_micros("start").alias("window_start"),
+        F.timestamp_micros(F.col("start") + length).alias("window_end"),
+        mean.alias("avg_step"),
     )
 
 

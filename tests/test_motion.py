@@ -1,5 +1,7 @@
 import math
 import random
+import re
+from datetime import timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +210,62 @@ def test_running_best_reads_its_windows_once(positions):
 def test_pico_time(spark, rows):
     picos = spark.createDataFrame([("14879639146403495",), ("-1999999999",), ("170000000000000000000000",)], "ps STRING")
     assert rows(picos.select(F.unix_millis(pico_to_timestamp(F.col("ps"))))) == [(-1,), (14879639,), (170000000000000,)]
+
+
+def plain_windows(events, size, slide):
+    """(key, start) -> mean step, from every row of every window."""
+    found = {}
+    for key in {e[0] for e in events}:
+        own = sorted((e[1], e[4], e[2], e[3]) for e in events if e[0] == key)
+        for ms in {w for t, *_ in own for w in range((t - size) // slide * slide + slide, t + 1, slide) if t - size < w <= t}:
+            inside = [r for r in own if ms <= r[0] < ms + size]
+            steps = [math.dist(a[2:], b[2:]) for a, b in zip(inside, inside[1:])]
+            found[key, ms] = sum(steps) / len(inside)
+    return found
+
+
+@pytest.mark.parametrize(("size", "slide"), [(5, 1), (6, 4), (4, 6), (7, 7), (30, 1), (1, 10), (12, 5)])
+def test_windows_by_blocks_equal_all_rows_of_each_window(spark, positions, size, slide):
+    rng = random.Random(size * 100 + slide)
+    events = []
+    for n in range(160):
+        at = rng.choice([rng.randrange(-60_000, 60_000), rng.randrange(4) * 1000, rng.randrange(400_000, 420_000)])
+        events.append((rng.randrange(3), at, rng.randrange(50), rng.randrange(50), n))
+    found = motion.avg_step(positions(events), f"{size} seconds", f"{slide} seconds", ["entity"])
+    got = {(r.entity, round(r.window_start.replace(tzinfo=timezone.utc).timestamp() * 1000)): r.avg_step for r in found.collect()}
+    expected = plain_windows(events, size * 1000, slide * 1000)
+    assert got.keys() == expected.keys() and all(got[k] == pytest.approx(v, abs=1e-9) for k, v in expected.items())
+
+
+def test_windows_of_many_panes_cost_rows_by_windows(spark, positions):
+    """5 hours by 1 second: 18,000 panes a window. Every generated row is one window's head or tail."""
+    events = [(1, 1000 * n + 7, n % 13, n % 7, n) for n in range(3000)]
+    summary = motion.pane_summaries(positions(events), ["entity"], "5 hours", "1 second")
+    windows = motion.combine_panes(summary, ["entity"], "5 hours", "1 second")
+    found = {round(r.window_start.replace(tzinfo=timezone.utc).timestamp()): r.avg_step for r in windows.collect()}
+    assert len(found) == 18_000 + 2_999
+    steps = [math.dist((n % 13, n % 7), ((n + 1) % 13, (n + 1) % 7)) for n in range(2999)]
+    for start in (-17_999, -17_000, -15_001, -12, 0, 1, 1500, 2999):
+        inside = [n for n in range(3000) if start <= n + 0.007 < start + 18_000]
+        assert found[start] == pytest.approx(sum(steps[inside[0] : inside[-1]]) / len(inside), abs=1e-9)
+    made = [int(x) for x in re.findall(r"Generate.*?rows: (\d+)", generated_rows(windows))]
+    assert made and sum(made) == 2 * len(found)
+
+
+def generated_rows(df):
+    """The rows that each Generate node of the finished plan has put out."""
+    df._jdf.collectToPython()
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+            continue
+        if node.nodeName() == "Generate":
+            out.append(f"Generate rows: {node.metrics().apply('numOutputRows').value()}")
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return "\n".join(out)
