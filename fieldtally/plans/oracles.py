@@ -100,6 +100,16 @@ SELECT ts, CAST(epoch_us(ts) AS HUGEINT) * 1000000 + event_id AS seq, event_type
 FROM events
 """
 
+# one in ten rows comes 15 days late and one in 97 is damaged; late rows count if their day was still open when nothing newer came
+_SURVIVORS = f"""
+WITH positions AS ({_FILED}),
+readable AS (
+  SELECT p.*, e.event_id % 10 = 3 AS lagged FROM positions p JOIN events e ON p.seq = CAST(epoch_us(e.ts) AS HUGEINT) * 1000000 + e.event_id
+  WHERE entity IN ('click', 'purchase', 'signup', 'view') AND e.event_id % 97 <> 5),
+last AS (SELECT time_bucket(INTERVAL '1 day', max(ts) - INTERVAL '2 days', TIMESTAMP '1970-01-01') AS closed_to FROM readable WHERE NOT lagged)
+SELECT ts, seq, entity, x, y FROM readable, last WHERE NOT lagged OR ts >= closed_to
+"""
+
 _AVG_STEP = f"{_WINDOWS} SELECT window_start, window_end, round(avg_step, 6) AS avg_step FROM windows"
 _BEST = (
     f"{_WINDOWS} SELECT window_start, window_end, best_start, best_start + INTERVAL '5 days' AS best_end, "
@@ -192,6 +202,17 @@ def oracle_sql() -> dict[str, str]:
                    coalesce(CAST(t.hops AS VARCHAR), 'Inf') AS cost
             FROM vertices v LEFT JOIN trail t ON t.id = v.id""",
         "q37_file_stream_exits_csv": _TOTAL.replace(_POSITIONS, _FILED),
+        "q39_live_running_best": f"{_BEST.replace(_POSITIONS, _FILED)} WHERE window_end >= TIMESTAMP '2024-01-15'",
+        "q40_late_rows": f"{_EXITS.format(positions=_SURVIVORS, day=_DAY, entity=', entity')} SELECT * FROM exits",
+        "q41_stream_account": f"""
+            WITH kept AS ({_SURVIVORS}), damaged AS (SELECT count(*) AS n FROM events WHERE event_id % 97 = 5),
+            given AS (
+              SELECT count(*) AS n FROM events
+              WHERE event_type IN ('click', 'purchase', 'signup', 'view') AND event_id % 97 <> 5)
+            SELECT given.n + damaged.n AS given, (SELECT count(*) FROM kept) AS kept, given.n - (SELECT count(*) FROM kept) AS late,
+                   damaged.n AS bad FROM given, damaged""",
+        "q42_closed_zone_exits": _TOTAL.replace(_POSITIONS, _FILED),
+        "q43_closed_avg_step": _AVG_STEP.replace(_POSITIONS, _FILED),
         "q38_live_best_window": f"""{_WINDOWS.replace(_POSITIONS, _FILED)}
             SELECT window_start, window_end, round(avg_step, 6) AS avg_step FROM windows
             ORDER BY windows.avg_step DESC, window_start LIMIT 1""",

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from fieldtally import operators as op
 from fieldtally.functions import path_text, pico_to_timestamp
+from fieldtally.operators.ordered import micros
 from fieldtally.plans import roles
 from fieldtally.plans.roles import BALLS, CARRY, MIN_BALANCE, PLAYER, SINCE, SOURCE_VERTEX, ZONES, table
 from fieldtally.sinks import format_paths, write_paths_report, write_stream, write_table
@@ -21,20 +23,29 @@ from fieldtally.sources import (
     read_tagged_tables,
     stream_positions,
 )
+from fieldtally.sources.delimited import CORRUPT
 from fieldtally.streaming import (
+    account,
+    closed_avg_step,
+    closed_zone_exits,
     finish_positions,
     finish_stream,
+    live_running_best,
     read_best,
+    results,
     stream_avg_step,
     stream_zone_exits,
     track_best,
 )
-from fieldtally.workspace import new_run_dir
+from fieldtally.streaming.tail import BESTS, EXITS, STEPS
+from fieldtally.workspace import in_name_order, new_run_dir
 
 DAY, SPAN, ROLLUP = "1 day", "5 days", "10 days"
 BLOCK = "90 days"
 STATE_SLICE = "1 minute"
-FILE_SLICES = 4
+FILE_ROWS = 2_500  #: rows of a position file
+TRIGGER_BYTES = 512_000  #: of position files in a micro-batch
+LAG, SLOT, DELAY = "15 days", "5 days", "2 days"
 
 
 def ntz(*names: str):
@@ -210,61 +221,131 @@ def streamed_avg_step(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def position_files(spark: SparkSession, sf: str) -> str:
-    """The events as folders of position files, one slice of time after the other."""
-    path = f"{new_run_dir(spark, 'position-files')}/positions"
+def position_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The events in the columns of position files, with their event time in microseconds and their id."""
     events = table(spark, sf, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
     sensors = F.array(*[F.lit(x) for x in (*BALLS, PLAYER)])
     picos = F.col("us").cast("decimal(38,0)") * F.lit(1_000_000).cast("decimal(7,0)") + F.col("event_id")
-    rows = events.select(
-        "us", F.array_position(sensors, F.col("event_type")).cast("int"), picos.cast("decimal(38,0)"), F.rint(F.col("value") * 100).cast("int"),
-        F.get_json_object("props", "$.k").cast("int"), *[F.lit(0).alias(f"unused_{n}") for n in range(9)],
+    return events.select(
+        "us", "event_id", F.array_position(sensors, F.col("event_type")).cast("int").alias("sensor"), picos.cast("decimal(38,0)").alias("picos"),
+        F.rint(F.col("value") * 100).cast("int").alias("x"), F.get_json_object("props", "$.k").cast("int").alias("y"),
+        *[F.lit(0).alias(f"unused_{n}") for n in range(9)],
     )
-    low, high = rows.agg(F.min("us"), F.max("us")).first()
-    step = (high - low) // FILE_SLICES + 1
-    for n in range(FILE_SLICES):
-        inside = rows.where((F.col("us") >= low + n * step) & (F.col("us") < low + (n + 1) * step)).drop("us")
-        write_table(inside.coalesce(1), path, sep=",", mode="append")
+
+
+def position_files(spark: SparkSession, sf: str) -> str:
+    """The events as position files, each a range of time, in the order of time; more rows make more files."""
+    path = f"{new_run_dir(spark, 'position-files')}/positions"
+    rows = position_rows(spark, sf).drop("event_id")
+    files = -(-rows.count() // FILE_ROWS) or 1
+    ordered = rows.repartitionByRange(files, "us", "picos").sortWithinPartitions("us", "picos")
+    write_table(ordered.drop("us"), path, sep=",")
+    in_name_order(spark, path)
+    return path
+
+
+def delayed_files(spark: SparkSession, sf: str) -> str:
+    """The events as position files in the order of arrival: one in ten rows arrives ``LAG`` late, and one in 97 lines is damaged. No
+    file reaches over more than ``SLOT`` of arrival time."""
+    path = f"{new_run_dir(spark, 'delayed-files')}/positions"
+    lag = F.when(F.col("event_id") % 10 == 3, F.lit(micros(LAG))).otherwise(F.lit(0))
+    rows = position_rows(spark, sf).withColumn("arrival", F.col("us") + lag)
+    fields = [c for c in rows.columns if c not in ("us", "event_id", "arrival")]
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in fields])
+    line = F.when(F.col("event_id") % 97 == 5, F.concat(F.lit("DAMAGED "), F.col("event_id").cast("string"))).otherwise(line)
+    slot = F.floor(F.col("arrival") / micros(SLOT)).cast("long").alias("slot")
+    files = -(-rows.count() // FILE_ROWS) or 1
+    lines = rows.select(slot, "arrival", line.alias("line")).repartitionByRange(files, "slot", "arrival").sortWithinPartitions("slot", "arrival")
+    lines.drop("arrival").write.partitionBy("slot").text(path)
+    in_name_order(spark, path)
     return path
 
 
 def moving(stream: DataFrame) -> DataFrame:
     """Positions read from files in the columns of the motion operators."""
-    return stream.select("ts", F.col("ts_ps").cast("decimal(38,0)").alias("seq"), F.col("sensor_id").alias("entity"), (F.col("x") / 100).alias("x"), "y")
+    kept = [CORRUPT] if CORRUPT in stream.columns else []
+    return stream.select(
+        "ts", F.col("ts_ps").cast("decimal(38,0)").alias("seq"), F.col("sensor_id").alias("entity"), (F.col("x") / 100).alias("x"), "y", *kept
+    )
+
+
+def to_the_end(spark: SparkSession, files: str, start: Callable[[], StreamingQuery]) -> None:
+    """Runs a query over the files that are there, then over the end marker, on one checkpoint."""
+    start().awaitTermination()
+    finish_positions(spark, files)
+    start().awaitTermination()
 
 
 def file_stream_exits(spark: SparkSession, sf: str) -> DataFrame:
-    """Averted goals over position files, one per micro-batch, kept as CSV that replaces an older result."""
+    """Averted goals over position files, a bounded number of bytes per micro-batch, kept as CSV that replaces an older result."""
     files = position_files(spark, sf)
     folder = new_run_dir(spark, "exits")
-
-    def run() -> DataFrame:
-        stream = moving(stream_positions(spark, files, max_files_per_trigger=1))
-        balls = list(range(1, len(BALLS) + 1))
-        total = stream_zone_exits(stream, ZONES, DAY, ROLLUP, entities=balls, slice_width=STATE_SLICE, delay=DAY)
-        write_stream(total, f"{folder}/result", f"{folder}/progress", fmt="csv", replace=True).awaitTermination()
-        return total
-
-    run()
-    finish_positions(spark, files)
-    schema = run().schema
-    return spark.read.schema(schema).csv(f"{folder}/result").select(*ntz("window_start", "window_end"), "zone", "exits")
+    stream = moving(stream_positions(spark, files, max_bytes_per_trigger=TRIGGER_BYTES))
+    balls = list(range(1, len(BALLS) + 1))
+    total = stream_zone_exits(stream, ZONES, DAY, ROLLUP, entities=balls, slice_width=STATE_SLICE, delay=DAY)
+    to_the_end(spark, files, lambda: write_stream(total, f"{folder}/result", f"{folder}/progress", fmt="csv", replace=True))
+    return spark.read.schema(total.schema).csv(f"{folder}/result").select(*ntz("window_start", "window_end"), "zone", "exits")
 
 
 def live_best(spark: SparkSession, sf: str) -> DataFrame:
     """The best window of a player, kept up to date while position files arrive."""
     files = position_files(spark, sf)
     folder = new_run_dir(spark, "best")
+    stream = moving(stream_positions(spark, files, max_bytes_per_trigger=TRIGGER_BYTES))
+    windows = stream_avg_step(stream, SPAN, DAY, entities=[len(BALLS) + 1], slice_width=STATE_SLICE)
+    to_the_end(spark, files, lambda: track_best(windows, f"{folder}/record", f"{folder}/progress"))
+    return rounded_windows(read_best(spark, f"{folder}/record"))
 
-    def run() -> None:
-        stream = moving(stream_positions(spark, files, max_files_per_trigger=1))
-        windows = stream_avg_step(stream, SPAN, DAY, entities=[len(BALLS) + 1], slice_width=STATE_SLICE)
-        track_best(windows, f"{folder}/record", f"{folder}/progress").awaitTermination()
 
-    run()
-    finish_positions(spark, files)
-    run()
-    return rounded_windows(read_best(spark, f"{folder}/record"))
+def live_bests(spark: SparkSession, sf: str) -> DataFrame:
+    """For every window from a time on the best so far, while position files arrive."""
+    files, folder = position_files(spark, sf), new_run_dir(spark, "bests")
+    stream = moving(stream_positions(spark, files, max_bytes_per_trigger=TRIGGER_BYTES))
+    since = F.lit("2024-01-15").cast("timestamp")
+    options = {"entities": [len(BALLS) + 1], "checkpoint": f"{folder}/progress"}
+    to_the_end(spark, files, lambda: live_running_best(stream, f"{folder}/tables", SPAN, DAY, since, BLOCK, **options))
+    bests = results(spark, f"{folder}/tables", "bests", BESTS)
+    return bests.select(*ntz("window_start", "window_end", "best_start", "best_end"), F.round("best_avg", 6).alias("best_avg"))
+
+
+def closed_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean steps of a stream without rows gathered in arrays."""
+    files, folder = position_files(spark, sf), new_run_dir(spark, "steps")
+    stream = moving(stream_positions(spark, files, max_bytes_per_trigger=TRIGGER_BYTES))
+    options = {"entities": [len(BALLS) + 1], "checkpoint": f"{folder}/progress"}
+    to_the_end(spark, files, lambda: closed_avg_step(stream, f"{folder}/tables", SPAN, DAY, **options))
+    return rounded_windows(results(spark, f"{folder}/tables", "steps", STEPS))
+
+
+def closed_exits(spark: SparkSession, sf: str) -> DataFrame:
+    """Exits of a stream, rolled up, without rows gathered in arrays."""
+    files, folder = position_files(spark, sf), new_run_dir(spark, "exits")
+    stream = moving(stream_positions(spark, files, max_bytes_per_trigger=TRIGGER_BYTES))
+    balls = list(range(1, len(BALLS) + 1))
+    to_the_end(spark, files, lambda: closed_zone_exits(stream, ZONES, f"{folder}/tables", DAY, ROLLUP, entities=balls, checkpoint=f"{folder}/progress"))
+    return results(spark, f"{folder}/tables", "exits", EXITS).select(*ntz("window_start", "window_end"), "zone", "exits")
+
+
+def delayed_stream(spark: SparkSession, sf: str) -> str:
+    """Runs the exits of a stream with late rows and damaged lines; returns the folder of its tables."""
+    files, folder = delayed_files(spark, sf), new_run_dir(spark, "delayed")
+    stream = moving(stream_positions(spark, files, max_files_per_trigger=1, mode="PERMISSIVE"))
+    balls = list(range(1, len(BALLS) + 1))
+    options = {"entities": balls, "delay": DELAY, "checkpoint": f"{folder}/progress"}
+    to_the_end(spark, files, lambda: closed_zone_exits(stream, ZONES, f"{folder}/tables", DAY, None, **options))
+    return f"{folder}/tables"
+
+
+def late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Exits per day of what is neither late nor damaged."""
+    found = results(spark, delayed_stream(spark, sf), "exits", EXITS)
+    return found.select(*ntz("window_start", "window_end"), "zone", "exits")
+
+
+def stream_account(spark: SparkSession, sf: str) -> DataFrame:
+    """How many rows a stream was given, kept, dropped as late, and could not read. The end marker is not counted."""
+    totals = account(spark, delayed_stream(spark, sf)).agg(*[F.sum(c).alias(c) for c in ("given", "kept", "late", "bad")])
+    return totals.select((F.col("given") - 1).alias("given"), (F.col("kept") - 1).alias("kept"), "late", "bad")
 
 
 def paths_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -363,4 +444,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q36_paths_report_file": paths_report,
         "q37_file_stream_exits_csv": file_stream_exits,
         "q38_live_best_window": live_best,
+        "q39_live_running_best": live_bests,
+        "q40_late_rows": late_rows,
+        "q41_stream_account": stream_account,
+        "q42_closed_zone_exits": closed_exits,
+        "q43_closed_avg_step": closed_steps,
     }
