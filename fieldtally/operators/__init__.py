@@ -18,7 +18,7 @@ from fieldtally.operators.motion import (
     zone_exits,
     zone_flags,
 )
-from fieldtally.operators.ordered import with_previous
+from fieldtally.operators.ordered import ranked, with_previous
 from fieldtally.operators.relational import (
     avg_per_entity,
     entities_without,
@@ -29,6 +29,7 @@ from fieldtally.operators.relational import (
     sum_and_count,
     tagged_avg,
 )
+from fieldtally.operators.zones import with_zones, zone_table_exits
 
 __all__ = [
     "avg_per_entity",
@@ -44,6 +45,7 @@ __all__ = [
     "hops_histogram",
     "merge_state",
     "only_entities",
+    "ranked",
     "rollup_exits",
     "running_best",
     "seed",
@@ -54,6 +56,8 @@ __all__ = [
     "unsettled",
     "vertices",
     "with_previous",
+    "with_zones",
     "zone_exits",
     "zone_flags",
+    "zone_table_exits",
 ]

@@ -7,8 +7,10 @@ moves nothing but its messages:
 
 * edges are de-duplicated once and bucketed by source; they are never shuffled again,
 * settled vertices are bucketed by id with the same number of buckets and partitioned by
-  hops, so the frontier is one pruned partition, already co-located with its edges, and the
+  segment, so the frontier is one pruned partition, already co-located with its edges, and the
   check against settled vertices needs no shuffle of those,
+* a level is a segment of its own at first; ``MERGED`` segments of one size are merged into one of the next size, so a
+  superstep at depth D reads buckets times log D files, and each vertex is rewritten log D times,
 * messages (destination, smallest sender) are combined on the map side before their
   shuffle, so a vertex with a third of all incoming edges costs one row per task.
 
@@ -19,14 +21,17 @@ Spark picks the join with them by their measured size.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.workspace import new_run_dir, shuffle_partitions, sized_session
+from fieldtally.workspace import drop_run, new_run_dir, shuffle_partitions, sized_session
 
 HOT_DEGREE = 1_000_000
+MERGED = 8  #: settled segments of one size that become one
+FIRST_MERGED = 1 << 30
 HOT_SCHEMA = "hot_src LONG, salts LONG"
 SETTLED_SCHEMA = "id LONG, parent LONG, hops INT"
 PATHS_SCHEMA = "id LONG, parent LONG, path ARRAY<LONG>, hops INT"
@@ -118,13 +123,17 @@ class _Search:
         return f"{self.folder}/paths"
 
     def append_settled(self, rows: DataFrame, hops: int) -> int:
-        """Writes one level and returns the number of its vertices."""
+        """Writes one level (id, parent) as a segment and returns the number of its vertices."""
+        return self.append_segment(rows.select("id", "parent", F.lit(hops).alias("hops")), hops)
+
+    def append_segment(self, rows: DataFrame, segment: int) -> int:
+        """Writes (id, parent, hops) as one segment, a file per bucket, and returns the number of its vertices."""
         level = Observation()
         (
-            rows.select("id", "parent", F.lit(hops).alias("hops"))
+            rows.select("id", "parent", "hops", F.lit(segment).alias("segment"))
             .observe(level, F.count(F.lit(1)).alias("vertices"))
             .write.mode("append")
-            .partitionBy("hops")
+            .partitionBy("segment")
             .bucketBy(self.buckets, "id")
             .sortBy("id")
             .option("path", self.settled_path)
@@ -132,8 +141,42 @@ class _Search:
         )
         return level.get["vertices"]
 
-    def level(self, hops: int) -> DataFrame:
-        return self.spark.table(self.settled).where(F.col("hops") == hops)
+    def read_segments(self, session: SparkSession, segments: list[int]) -> DataFrame:
+        """The rows of finished segments, from their folders."""
+        folders = [f"{self.settled_path}/segment={n}" for n in segments]
+        return session.read.schema(SETTLED_SCHEMA).parquet(*folders)
+
+
+@dataclass
+class _Segments:
+    """Which segments hold the settled vertices, a list per size: a level has its own number, merged ones count from ``FIRST_MERGED`` on.
+    Readers use these lists alone, so they see either the old segments of a merge or the new one."""
+
+    work: _Search
+    sizes: list[list[int]]
+    merged: int = 0
+
+    def live(self) -> list[int]:
+        return [n for size in self.sizes for n in size]
+
+    def add(self, level: int) -> None:
+        """Adds a level, and merges the oldest ``MERGED`` segments of each size that has more than so many."""
+        self.sizes[0].append(level)
+        for size in range(len(self.sizes)):
+            if len(self.sizes[size]) > MERGED:
+                self._merge(size)
+
+    def _merge(self, size: int) -> None:
+        old, new = self.sizes[size][:MERGED], FIRST_MERGED + self.merged
+        rows = self.work.spark.table(self.work.settled).where(F.col("segment").isin(old))
+        self.work.append_segment(rows.repartition(self.work.buckets, "id"), new)  # read by bucket, so this shuffles nothing
+        self.merged += 1
+        if size + 1 == len(self.sizes):
+            self.sizes.append([])
+        self.sizes[size + 1].append(new)
+        del self.sizes[size][:MERGED]
+        for n in old:
+            drop_run(self.work.spark, f"{self.work.settled_path}/segment={n}")
 
 
 def shortest_paths(
@@ -168,14 +211,14 @@ def shortest_paths(
         buckets = shuffle_partitions(spark)
         # the layout fixes every partition and join partner of a superstep, so there is nothing
         # to adapt while it runs, and each level is spared the planning
-        session = sized_session(spark, buckets, spark__sql__adaptive__enabled="false")
+        session = sized_session(spark, buckets, spark__sql__adaptive__enabled="false", spark__sql__sources__bucketing__autoBucketedScan__enabled="false")
         work = _Search(session, folder, database, buckets)
         salted = _store_edges(work, usable)
         vertices(edges).write.parquet(f"{folder}/vertices")
         everything = spark.read.schema("id LONG").parquet(f"{folder}/vertices")
-        depth, complete = _search(work, everything, source, max_hops, salted)
-        if with_path:
-            _build_paths(spark, work, depth)
+        depth, complete, segments = _search(work, everything, source, max_hops, salted)
+        if with_path and depth >= 0:
+            _build_paths(spark, work, work.read_segments(spark, segments), depth)
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
     columns = ["hops", "parent", "path"] if with_path else ["hops", "parent"]
@@ -184,7 +227,7 @@ def shortest_paths(
     elif with_path:
         reached = spark.read.schema(PATHS_SCHEMA).parquet(work.paths_path)
     else:
-        reached = spark.read.schema(SETTLED_SCHEMA).parquet(work.settled_path)
+        reached = work.read_segments(spark, segments)
     return everything.join(reached, "id", "left").select("id", *columns, F.lit(complete).alias("complete"))
 
 
@@ -218,30 +261,34 @@ def _store_edges(work: _Search, edges: DataFrame) -> bool:
     return salted
 
 
-def _search(work: _Search, all_vertices: DataFrame, source: int, max_hops: int | None, salted: bool) -> tuple[int, bool]:
+def _search(work: _Search, all_vertices: DataFrame, source: int, max_hops: int | None, salted: bool) -> tuple[int, bool, list[int]]:
     """Appends one level after another; returns the number of the last one with a vertex,
-    or -1 when the source is not in the graph, and whether nothing was left to expand."""
+    or -1 when the source is not in the graph, whether nothing was left to expand, and the settled segments."""
     start = all_vertices.where(F.col("id") == source).select("id", F.lit(None).cast("long").alias("parent"))
-    active, hops = work.append_settled(start, 0), 0
-    while active and (max_hops is None or hops < max_hops):
-        active = work.append_settled(_superstep(work, hops, salted), hops + 1)
+    active, hops, segments = work.append_settled(start, 0), 0, _Segments(work, [[]])
+    while active:
+        segments.add(hops)
+        if max_hops is not None and hops >= max_hops:
+            return hops, False, segments.live()
+        active = work.append_settled(_superstep(work, hops, salted, segments.live()), hops + 1)
         hops += 1
-    return (hops, False) if active else (hops - 1, True)
+    return hops - 1, True, segments.live()
 
 
-def _superstep(work: _Search, hops: int, salted: bool) -> DataFrame:
-    """Vertices first reached from level ``hops``.
+def _superstep(work: _Search, hops: int, salted: bool, segments: Sequence[int] | None = None) -> DataFrame:
+    """Vertices first reached from level ``hops``; ``segments`` hold all that is settled (by default all levels so far).
 
     The one shuffle is that of the messages (with salted sources also that of the frontier).
     """
+    live = ", ".join(map(str, range(hops + 1) if segments is None else segments))
     return work.spark.sql(f"""
         SELECT dst AS id, parent
         FROM (SELECT dst, min(src) AS parent FROM ({_edges_of_frontier(work, hops, salted)}) GROUP BY dst)
-        LEFT ANTI JOIN {work.settled} s ON s.id = dst""")
+        LEFT ANTI JOIN (SELECT id FROM {work.settled} WHERE segment IN ({live})) s ON s.id = dst""")
 
 
 def _edges_of_frontier(work: _Search, hops: int, salted: bool) -> str:
-    frontier = f"SELECT id FROM {work.settled} WHERE hops = {hops}"
+    frontier = f"SELECT id FROM {work.settled} WHERE segment = {hops}"
     same = "e.src = f.id"
     if salted:
         frontier = f"""
@@ -251,24 +298,28 @@ def _edges_of_frontier(work: _Search, hops: int, salted: bool) -> str:
     return f"SELECT e.src, e.dst FROM ({frontier}) f JOIN {work.edges} e ON {same}"
 
 
-def _build_paths(spark: SparkSession, work: _Search, depth: int) -> None:
-    """Extends the paths of one level to the next.
+def _build_paths(spark: SparkSession, work: _Search, settled: DataFrame, depth: int) -> None:
+    """Paths by pointer doubling: log2 of the depth rounds, not one per level.
 
-    Only here do paths move, once per vertex. A parent of many vertices is a hot key with a
-    single row on the other side; the caller's session has AQE broadcast that side when small
-    and split the hot partition when not.
+    Every vertex starts with the piece of its path from below its parent to itself. In a round, each unfinished vertex
+    puts the piece of the vertex above in front of its own, which doubles both its length and the distance to the
+    vertex above. Vertices of ``2 ** k`` hops and more are unfinished in round k; the others are written as done. Each round's
+    pieces are written to the shared folder. The vertex above many others is a hot key with a single row on the other side; the
+    caller's session has AQE broadcast that side when small and split the hot partition when not.
     """
-    for hops in range(depth + 1):
-        level = spark.read.schema("id LONG, parent LONG").parquet(f"{work.settled_path}/hops={hops}")
-        if hops == 0:
-            rows = level.withColumn("path", F.array("id"))
-        else:
-            above = (
-                spark.read.schema("id LONG, parent LONG, path ARRAY<LONG>")
-                .parquet(f"{work.paths_path}/hops={hops - 1}")
-                .select(F.col("id").alias("above_id"), F.col("path").alias("above_path"))
-            )
-            rows = level.join(above, F.col("parent") == F.col("above_id")).select(
-                "id", "parent", F.array_append("above_path", F.col("id")).alias("path")
-            )
-        rows.write.parquet(f"{work.paths_path}/hops={hops}")
+    piece_schema = f"{PATHS_SCHEMA}, above LONG"
+    pieces = settled.select("id", "parent", F.array("id").alias("path"), "hops", F.col("parent").alias("above"))
+    step = 1
+    pieces.where(F.col("hops") < step).select("id", "parent", "path", "hops").write.parquet(work.paths_path)
+    while step <= depth:
+        known = spark.read.schema(PATHS_SCHEMA).parquet(work.paths_path).withColumn("above", F.lit(None).cast("long"))
+        open_ones = pieces.where(F.col("hops") >= step)
+        up = known.unionByName(open_ones).select(F.col("id").alias("_id"), F.col("path").alias("_path"), F.col("above").alias("_above"))
+        longer = open_ones.join(up, F.col("above") == F.col("_id")).select(
+            "id", "parent", F.concat("_path", "path").alias("path"), "hops", F.col("_above").alias("above")
+        )
+        step *= 2
+        folder = f"{work.folder}/pieces/{step}"
+        longer.write.parquet(folder)
+        pieces = spark.read.schema(piece_schema).parquet(folder)
+        pieces.where(F.col("hops") < step).select("id", "parent", "path", "hops").write.mode("append").parquet(work.paths_path)

@@ -99,3 +99,28 @@ def with_previous(rows: DataFrame, keys: Sequence[str], order: Sequence[str], ca
         .where(~F.col("_copy"))
         .select(*kept, *[f"previous_{name}" for name in carry])
     )
+
+
+def ranked(rows: DataFrame, order_by: Sequence[str], as_text: bool = True, rank: str = "rank") -> DataFrame:
+    """``rows`` with their place in the whole table's order, gapless from 1; the order that ``write_table(order_by=...)`` writes.
+
+    Columns are compared as text (10 before 9) unless ``as_text`` is off, NULL first; the other columns break ties, and rows alike in all
+    columns get the places in any order among themselves. A rank over everything would sort all rows in one task. Here rows are
+    range-partitioned, ranked inside their part, and moved on by the rows of the parts before, of which only the numbers
+    meet. The parts are written below the shared folder when called, because both uses need the same ones.
+    """
+    spark = rows.sparkSession
+    first = [F.col(f"`{c}`").cast("string") if as_text else F.col(f"`{c}`") for c in order_by]
+    order = [*first, *[F.col(f"`{c}`") for c in rows.columns if c not in order_by]]
+    keys = [c.alias(f"_key_{n}") for n, c in enumerate(order)]
+    names = [f"_key_{n}" for n in range(len(order))]
+    parts = rows.select("*", *keys).repartitionByRange(shuffle_partitions(spark), *names).withColumn("_part", F.spark_partition_id())
+    folder = new_run_dir(spark, "ranked")
+    parts.write.parquet(folder)
+    parts = spark.read.schema(parts.schema).parquet(folder)
+    before = F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row per part
+    counts = counts.select(F.col("_part").alias("_p"), F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy("_part").orderBy(*names))
+    placed = parts.withColumn("_inside", inside).join(counts, F.col("_part") == F.col("_p"))
+    return placed.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("_before") + F.col("_inside")).alias(rank))

@@ -211,6 +211,21 @@ def oracle_sql() -> dict[str, str]:
               WHERE event_type IN ('click', 'purchase', 'signup', 'view') AND event_id % 97 <> 5)
             SELECT given.n + damaged.n AS given, (SELECT count(*) FROM kept) AS kept, given.n - (SELECT count(*) FROM kept) AS late,
                    damaged.n AS bad FROM given, damaged""",
+        "q44_zone_table_exits": f"""
+            WITH positions AS ({_POSITIONS}),
+            zones AS (
+              SELECT DISTINCT i || '/' || j AS zone, i * 10 - 3 AS x_low, i * 10 + 13 AS x_high, j * 5 - 2 AS y_low, j * 5 + 7 AS y_high
+              FROM (SELECT CAST(floor(x / 10) AS BIGINT) AS i, CAST(floor(y / 5) AS BIGINT) AS j FROM positions)),
+            steps AS (
+              SELECT {_DAY} AS window_start, x, y, lag(x) OVER w AS x0, lag(y) OVER w AS y0
+              FROM positions WHERE entity IN ('click', 'purchase', 'signup', 'view')
+              WINDOW w AS (PARTITION BY {_DAY}, entity ORDER BY ts, seq))
+            SELECT window_start, window_start + INTERVAL '1 day' AS window_end, zone, count(*) AS exits
+            FROM steps JOIN zones ON x0 > x_low AND x0 < x_high AND y0 > y_low AND y0 < y_high
+            WHERE NOT (x > x_low AND x < x_high AND y > y_low AND y < y_high) GROUP BY window_start, zone""",
+        "q45_text_order_rank": """
+            SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY CAST(o_custkey AS VARCHAR), o_orderkey) AS rank
+            FROM orders""",
         "q42_closed_zone_exits": _TOTAL.replace(_POSITIONS, _FILED),
         "q43_closed_avg_step": _AVG_STEP.replace(_POSITIONS, _FILED),
         "q38_live_best_window": f"""{_WINDOWS.replace(_POSITIONS, _FILED)}

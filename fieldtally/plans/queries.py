@@ -180,6 +180,18 @@ def zone_exits_total(spark: SparkSession, sf: str) -> DataFrame:
     return total.select(*ntz("window_start", "window_end"), "zone", "exits")
 
 
+def zone_table_exits(spark: SparkSession, sf: str) -> DataFrame:
+    """Exits per day from each zone of a table of zones."""
+    exits = op.zone_table_exits(balls(spark, sf), roles.zone_table(spark, sf), DAY)
+    return exits.select(*ntz("window_start", "window_end"), "zone", "exits")
+
+
+def order_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with their place in the order of their customers' numbers as text."""
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey")
+    return op.ranked(orders, ["o_custkey"])
+
+
 def step_distances(spark: SparkSession, sf: str) -> DataFrame:
     steps = op.step_distances(player(spark, sf))
     return steps.select("seq", *ntz("ts"), F.round("step", 6).alias("step"))
@@ -449,4 +461,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q41_stream_account": stream_account,
         "q42_closed_zone_exits": closed_exits,
         "q43_closed_avg_step": closed_steps,
+        "q44_zone_table_exits": zone_table_exits,
+        "q45_text_order_rank": order_ranks,
     }

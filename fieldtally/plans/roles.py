@@ -53,3 +53,13 @@ def as_positions(events: DataFrame) -> DataFrame:
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_positions(table(spark, sf_dir, "events"))
+
+
+def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About a thousand zones: one for each occurring 10 by 5 square of (x, y), reaching a little over its neighbours."""
+    squares = positions(spark, sf_dir).select(F.floor(F.col("x") / 10).alias("i"), F.floor(F.col("y") / 5).alias("j"))
+    i, j = F.col("i"), F.col("j")
+    return squares.where("i is not null and j is not null").distinct().select(
+        F.concat_ws("/", i, j).alias("zone"), (i * 10 - 3).alias("x_low"), (i * 10 + 13).alias("x_high"),
+        (j * 5 - 2).alias("y_low"), (j * 5 + 7).alias("y_high"),
+    )

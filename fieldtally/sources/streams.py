@@ -21,6 +21,8 @@ def stream_positions(
         raise ValueError("a micro-batch is bounded by files or by bytes, not by both")
     reader = spark.readStream.schema(with_corrupt_column(POSITIONS_SCHEMA, mode)).option("sep", ",").option("mode", mode)
     reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", "true")
+    if mode.upper() == "PERMISSIVE":  # lines with too few or too many fields are only found in whole rows
+        reader = reader.option("columnPruning", "false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:

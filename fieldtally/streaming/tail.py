@@ -117,7 +117,8 @@ def wanted(positions: DataFrame, entities: Sequence | None) -> DataFrame:
     if entities is None:
         return positions
     marker = F.col("entity").isNull() & (F.col("ts") >= F.lit(END_OF_INPUT).cast("timestamp"))
-    unreadable = F.col(CORRUPT).isNotNull() if CORRUPT in positions.columns else F.lit(False)
+    # not a plain null test: a parser that is handed that one skips lines before it knows that they are malformed
+    unreadable = F.length(F.coalesce(CORRUPT, F.lit(""))) > 0 if CORRUPT in positions.columns else F.lit(False)
     return positions.where(F.col("entity").isin(list(entities)) | marker | unreadable)
 
 

@@ -1,3 +1,4 @@
+import math
 import os
 import random
 from collections import deque
@@ -187,3 +188,71 @@ def test_report(spark, tmp_path):
     lines = [line for file in (tmp_path / "report").glob("part-*") for line in file.read_text().splitlines()]
     assert len(lines) == 9
     assert "17274|6|17274, 3, 6|2" in lines and "17274|8||Inf" in lines
+
+
+def spied(monkeypatch):
+    """How many settled segments each superstep reads, and how many rounds the paths take."""
+    read, rounds = [], []
+    step, build = graph._superstep, graph._build_paths
+
+    def superstep(work, hops, salted, segments=None):
+        read.append(len(segments))
+        return step(work, hops, salted, segments)
+
+    def build_paths(spark, work, settled, depth):
+        build(spark, work, settled, depth)
+        rounds.append(len(os.listdir(f"{work.folder}/pieces")) if depth else 0)
+
+    monkeypatch.setattr(graph, "_superstep", superstep)
+    monkeypatch.setattr(graph, "_build_paths", build_paths)
+    return read, rounds
+
+
+@pytest.fixture
+def few_buckets(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize(("merged", "hops"), [(2, 21), (8, 300)])
+def test_deep_searches_read_few_segments_and_double_their_paths(spark, monkeypatch, few_buckets, merged, hops):
+    """At depth D a superstep reads about ``merged`` times log D segments of one file per bucket, and paths take log2 D rounds."""
+    monkeypatch.setattr(graph, "MERGED", merged)
+    read, rounds = spied(monkeypatch)
+    chain = [(n, n + 1) for n in range(hops)] + [(3, 1000), (1000, 1001), (7, 2)]
+    result = {r.id: r for r in graph.shortest_paths(frame(spark, chain), 0).collect()}
+    assert all(result[n].hops == n and result[n].path == list(range(n + 1)) for n in range(hops + 1))
+    assert result[1001].path == [0, 1, 2, 3, 1000, 1001] and result[1001].parent == 1000 and len(result) == hops + 3
+    assert len(read) == hops + 1
+    for depth, segments in enumerate(read, 1):
+        assert segments <= merged * (1 + math.log(depth, merged)) + 1
+    assert rounds == [math.ceil(math.log2(hops + 1))]
+
+
+def test_settled_files_follow_the_segments(spark, monkeypatch):
+    """Merged segments are deleted, and what is left holds each vertex once, in a file per bucket."""
+    monkeypatch.setattr(graph, "MERGED", 2)
+    folders = []
+    make = graph.new_run_dir
+    monkeypatch.setattr(graph, "new_run_dir", lambda spark, label: folders.append(make(spark, label)) or folders[-1])
+    edges = [(n, n + k) for n in range(0, 60, 2) for k in (1, 2)]
+    result = graph.shortest_paths(frame(spark, edges), 0, with_path=False).where("hops is not null")
+    assert {r.id: r.hops for r in result.collect()} == {0: 0, **{n: (n + 1) // 2 for n in range(1, 61)}}
+    settled = folders[0].removeprefix("file:") + "/settled"
+    segments = [d for d in os.listdir(settled) if d.startswith("segment=")]
+    assert 1 < len(segments) < 10
+    rows = spark.read.schema("id LONG, hops INT").parquet(settled)
+    assert rows.count() == rows.select("id").distinct().count() == 61
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = {d: sorted(f for f in os.listdir(f"{settled}/{d}") if f.endswith(".parquet")) for d in segments}
+    assert max(map(len, files.values())) <= buckets, {d: len(f) for d, f in files.items()}
+
+
+@pytest.mark.parametrize("hops", [1, 2, 3, 4, 7, 8])
+def test_paths_of_every_depth(spark, monkeypatch, hops):
+    read, rounds = spied(monkeypatch)
+    result = graph.shortest_paths(frame(spark, [(n, n + 1) for n in range(hops)] + [(0, 99)]), 0)
+    assert {r.id: r.path for r in result.collect()} == {**{n: list(range(n + 1)) for n in range(hops + 1)}, 99: [0, 99]}
+    assert rounds == [math.ceil(math.log2(hops + 1))] and rounds[0] <= math.ceil(math.log2(max(2, hops))) + 1
