@@ -118,10 +118,6 @@ class _Search:
     def settled_path(self) -> str:
         return f"{self.folder}/settled"
 
-    @property
-    def paths_path(self) -> str:
-        return f"{self.folder}/paths"
-
     def append_settled(self, rows: DataFrame, hops: int) -> int:
         """Writes one level (id, parent) as a segment and returns the number of its vertices."""
         return self.append_segment(rows.select("id", "parent", F.lit(hops).alias("hops")), hops)
@@ -217,17 +213,15 @@ def shortest_paths(
         vertices(edges).write.parquet(f"{folder}/vertices")
         everything = spark.read.schema("id LONG").parquet(f"{folder}/vertices")
         depth, complete, segments = _search(work, everything, source, max_hops, salted)
-        if with_path and depth >= 0:
-            _build_paths(spark, work, work.read_segments(spark, segments), depth)
+        if depth < 0:
+            reached = spark.createDataFrame([], PATHS_SCHEMA)
+        else:
+            reached = work.read_segments(spark, segments)
+            if with_path:
+                reached = _build_paths(spark, work, reached, depth)
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
     columns = ["hops", "parent", "path"] if with_path else ["hops", "parent"]
-    if depth < 0:
-        reached = spark.createDataFrame([], PATHS_SCHEMA)
-    elif with_path:
-        reached = spark.read.schema(PATHS_SCHEMA).parquet(work.paths_path)
-    else:
-        reached = work.read_segments(spark, segments)
     return everything.join(reached, "id", "left").select("id", *columns, F.lit(complete).alias("complete"))
 
 
@@ -298,28 +292,31 @@ def _edges_of_frontier(work: _Search, hops: int, salted: bool) -> str:
     return f"SELECT e.src, e.dst FROM ({frontier}) f JOIN {work.edges} e ON {same}"
 
 
-def _build_paths(spark: SparkSession, work: _Search, settled: DataFrame, depth: int) -> None:
+def _build_paths(spark: SparkSession, work: _Search, settled: DataFrame, depth: int) -> DataFrame:
     """Paths by pointer doubling: log2 of the depth rounds, not one per level.
 
     Every vertex starts with the piece of its path from below its parent to itself. In a round, each unfinished vertex
     puts the piece of the vertex above in front of its own, which doubles both its length and the distance to the
-    vertex above. Vertices of ``2 ** k`` hops and more are unfinished in round k; the others are written as done. Each round's
-    pieces are written to the shared folder. The vertex above many others is a hot key with a single row on the other side; the
-    caller's session has AQE broadcast that side when small and split the hot partition when not.
+    vertex above. Those of fewer than ``2 ** k`` hops are finished after k rounds. Each round's pieces are written once to
+    the shared folder, the finished ones apart, where the result reads them. The vertex above many others is a hot key with a single row on
+    the other side; the caller's session has AQE broadcast that side when small and split the hot partition when not.
     """
-    piece_schema = f"{PATHS_SCHEMA}, above LONG"
-    pieces = settled.select("id", "parent", F.array("id").alias("path"), "hops", F.col("parent").alias("above"))
-    step = 1
-    pieces.where(F.col("hops") < step).select("id", "parent", "path", "hops").write.parquet(work.paths_path)
+    own = ["id", "parent", "path", "hops"]
+    open_ones = settled.select("id", "parent", F.array("id").alias("path"), "hops", F.col("parent").alias("above"))
+    done, finished, step = open_ones.where("hops = 0").select(own), [], 1
+    open_ones = open_ones.where("hops > 0")
     while step <= depth:
-        known = spark.read.schema(PATHS_SCHEMA).parquet(work.paths_path).withColumn("above", F.lit(None).cast("long"))
-        open_ones = pieces.where(F.col("hops") >= step)
-        up = known.unionByName(open_ones).select(F.col("id").alias("_id"), F.col("path").alias("_path"), F.col("above").alias("_above"))
+        up = done.withColumn("above", F.lit(None).cast("long")).unionByName(open_ones)
+        up = up.select(F.col("id").alias("_id"), F.col("path").alias("_path"), F.col("above").alias("_above"))
         longer = open_ones.join(up, F.col("above") == F.col("_id")).select(
-            "id", "parent", F.concat("_path", "path").alias("path"), "hops", F.col("_above").alias("above")
+            "id", "parent", F.concat("_path", "path").alias("path"), "hops", F.col("_above").alias("above"), (F.col("hops") < 2 * step).alias("done")
         )
-        step *= 2
         folder = f"{work.folder}/pieces/{step}"
-        longer.write.parquet(folder)
-        pieces = spark.read.schema(piece_schema).parquet(folder)
-        pieces.where(F.col("hops") < step).select("id", "parent", "path", "hops").write.mode("append").parquet(work.paths_path)
+        longer.write.partitionBy("done").parquet(folder)
+        finished.append(f"{folder}/done=true")  # some vertex has ``step`` hops
+        done = settled.where("hops = 0").select("id", "parent", F.array("id").alias("path"), "hops")
+        done = done.unionByName(spark.read.schema(PATHS_SCHEMA).parquet(*finished))
+        step *= 2
+        if step <= depth:
+            open_ones = spark.read.schema(f"{PATHS_SCHEMA}, above LONG").parquet(f"{folder}/done=false")
+    return done

@@ -19,6 +19,7 @@ from fieldtally.operators.ordered import PIECE, across_pieces, cut, in_piece, mi
 
 ORDER = ("ts", "seq")
 SLICES_PER_WINDOW = 16
+FEW_COPIES = 16  #: windows that hold a pane, up to which panes are copied
 
 
 def only_entities(positions: DataFrame, entities: Sequence, column: str = "entity") -> DataFrame:
@@ -113,8 +114,8 @@ def avg_step(
     """Mean step length per sliding window.
 
     The divisor is the number of rows, and the first row of a window has step 0. Rows are
-    summed once per pane (the common divisor of size and slide), and neither rows nor panes are copied into
-    overlapping windows (``combine_panes``).
+    summed once per pane (the common divisor of size and slide) and never copied into
+    overlapping windows; ``combine_panes`` puts windows together from panes.
     """
     return combine_panes(pane_summaries(positions, keys, size, slide), keys, size, slide)
 
@@ -150,6 +151,42 @@ def pane_summaries(positions: DataFrame, keys: Sequence[str], size: str, slide:
 def combine_panes(summary: DataFrame, keys: Sequence[str], size: str, slide: str) -> DataFrame:
     """Windows from pane summaries: steps inside panes plus steps from pane to pane.
 
+    A window that slides by more than a ``FEW_COPIES``th of its size gets copies of its panes, so that one shuffle brings them together. Beyond that
+    copies are what costs, and windows are put together from blocks (``windows_by_blocks``). The rows are the same.
+    """
+    if micros(size) <= FEW_COPIES * micros(slide):
+        return windows_by_copies(summary, keys, size, slide)
+    return windows_by_blocks(summary, keys, size, slide)
+
+
+def windows_by_copies(summary: DataFrame, keys: Sequence[str], size: str, slide: str) -> DataFrame:
+    """Windows from a copy of each pane per window that holds it."""
+    pane, length, step = F.col("_slice"), F.lit(micros(size)), F.lit(micros(slide))
+    earliest = pane - length - F.pmod(pane - length, step) + step
+    latest = pane - F.pmod(pane, step)
+    # NULL, hence no row, for a pane in the gap between windows that slide further than they are long
+    starts = F.when(earliest <= latest, F.sequence(earliest, latest, step))
+    panes = summary.withColumn("start", F.explode(starts))
+    window = across_pieces([*keys, "start"])
+    bridge = distance(
+        F.lag("last_x").over(window), F.lag("last_y").over(window), F.col("first_x"), F.col("first_y")
+    )
+    return (
+        panes.withColumn("bridge", bridge)
+        .groupBy(*keys, "start")
+        .agg(((F.sum("inner") + F.sum("bridge")) / F.sum("n")).alias("avg_step"))
+        .select(
+            *keys,
+            F.timestamp_micros("start").alias("window_start"),
+            F.timestamp_micros(F.col("start") + length).alias("window_end"),
+            "avg_step",
+        )
+    )
+
+
+def windows_by_blocks(summary: DataFrame, keys: Sequence[str], size: str, slide: str) -> DataFrame:
+    """Windows from sums over blocks, without copies of panes.
+
     Time is cut into blocks as long as a window, so a window is the end of one block and the beginning of the next. Sums
     from each pane to the end of its block, and from the block's beginning to each pane, are taken once; a window gets the one of its first pane
     and the other of its last pane. So there are two rows per window and none per pane of a window, however many panes a window has,

@@ -200,8 +200,9 @@ def spied(monkeypatch):
         return step(work, hops, salted, segments)
 
     def build_paths(spark, work, settled, depth):
-        build(spark, work, settled, depth)
+        paths = build(spark, work, settled, depth)
         rounds.append(len(os.listdir(f"{work.folder}/pieces")) if depth else 0)
+        return paths
 
     monkeypatch.setattr(graph, "_superstep", superstep)
     monkeypatch.setattr(graph, "_build_paths", build_paths)

@@ -225,7 +225,9 @@ def plain_windows(events, size, slide):
 
 
 @pytest.mark.parametrize(("size", "slide"), [(5, 1), (6, 4), (4, 6), (7, 7), (30, 1), (1, 10), (12, 5)])
-def test_windows_by_blocks_equal_all_rows_of_each_window(spark, positions, size, slide):
+@pytest.mark.parametrize("copies", [0, 16])
+def test_windows_by_blocks_equal_all_rows_of_each_window(spark, positions, monkeypatch, size, slide, copies):
+    monkeypatch.setattr(motion, "FEW_COPIES", copies)
     rng = random.Random(size * 100 + slide)
     events = []
     for n in range(160):
