@@ -34,6 +34,7 @@ SEQUENCE = 4096  #: tokens of a sequence at most
 END_ID = 2
 OPEN = 64  #: windows that a task keeps open
 FAN = 16  #: tasks whose leftover windows meet in one group
+EMITTED = 256  #: full windows that are handed on at once
 COLUMNS = ("doc_id", "row", "start", "length", "doc_tokens", "sequence_id", "offset", "closed", "ids")
 PART_BITS = 33  #: a sequence's number is its round, its task or group, and its number there in so many bits
 ROUND_BITS = 58
@@ -173,6 +174,9 @@ def _pack(vocabulary: str, end_id: int, size: int, n_open: int) -> Callable:
                 ids = np.append(ids.astype("<u4"), np.uint32(end_id)).astype("<u4")  # a copy: the batch's ids can go
                 full += packer.place(Piece(doc_id, row, 0, len(ids), ids))
                 row += 1
+                if len(full) >= EMITTED:
+                    yield emitter.batch(full, True)
+                    full = []
             if full:
                 yield emitter.batch(full, True)
         if emitter:

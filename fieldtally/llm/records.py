@@ -106,11 +106,14 @@ class WordEncoder:
                 self.parts[part] = found
         return found
 
-    def word(self, word: str) -> bytes:
+    def fresh(self, word: str) -> bytes:
+        """A word's ids, which are not remembered."""
         if len(word) <= 256 and _PLAIN.fullmatch(word) and "<|" not in word:
-            found = b"".join(map(self.part, _PARTS.findall(word.lower())))
-        else:
-            found = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            return b"".join(map(self.part, _PARTS.findall(word.lower())))
+        return self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def word(self, word: str) -> bytes:
+        found = self.fresh(word)
         if len(self.words) >= CACHED_WORDS:
             self.words.clear()
         if len(word) <= 64:
@@ -137,7 +140,7 @@ def batch_encoder(path: str) -> BatchEncoder:
     """One encoder of whole columns per worker and vocabulary, so that its words outlive a task."""
     if path not in _BATCH:
         one = encoder(path)
-        _BATCH[path] = BatchEncoder(one.word, lambda text: one.packed(one.tokenizer.encode(text, add_special_tokens=False).ids), one.width, cuts_are_known(path))
+        _BATCH[path] = BatchEncoder(one.fresh, lambda text: one.packed(one.tokenizer.encode(text, add_special_tokens=False).ids), one.width, cuts_are_known(path))
     return _BATCH[path]
 
 

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from fieldtally.llm.words import SPACED, Run, runs
+from fieldtally.llm.words import SPACED, Run, distinct, quick_hashes, runs
 
 TABLE_BYTES = 64 << 20  #: of a worker's table, which starts anew when it is full
 RECENT = 1 << 16  #: words that are kept apart before they are merged into the sorted table
@@ -65,14 +65,15 @@ class WordTable:
                 row[hit] = rows[at[hit]]
         return row
 
-    def add(self, hashes: np.ndarray, words: list[bytes], ids: list[np.ndarray]) -> np.ndarray:
+    def add(self, hashes: np.ndarray, letters: np.ndarray, letter_sizes: np.ndarray, ids: list[bytes]) -> np.ndarray:
         """Appends words with ascending new hashes; returns their rows."""
-        rows = np.arange(len(words)) + self.borders[0].n
-        for part, pieces, (first, size) in ((self.letters, [np.frombuffer(w, np.uint8) for w in words], (0, 1)), (self.ids, ids, (2, 3))):
-            sizes = np.array([len(x) for x in pieces], dtype=np.int64)
+        rows = np.arange(len(hashes)) + self.borders[0].n
+        packed = np.frombuffer(b"".join(ids), dtype=self.width)
+        id_sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // packed.itemsize
+        for part, values, sizes, (first, size) in ((self.letters, letters, letter_sizes, (0, 1)), (self.ids, packed, id_sizes, (2, 3))):
             self.borders[first].append(part.n + np.cumsum(sizes) - sizes)
             self.borders[size].append(sizes)
-            part.append(np.concatenate(pieces))
+            part.append(values)
         large, small = self.sorted
         small = _merged(small, (hashes, rows))
         if len(small[0]) > RECENT:
@@ -107,16 +108,15 @@ class BatchEncoder:
     def _run(self, run: Run) -> tuple[np.ndarray, np.ndarray]:
         if not len(run.starts):
             return np.zeros(0, dtype=self.width), np.zeros(run.n_texts + 1, dtype=np.int64)
-        hashes, first, inverse = np.unique(run.hashes(), return_index=True, return_inverse=True)
+        hashes, first, inverse = distinct(quick_hashes(run))
         if self.table.nbytes() > TABLE_BYTES:
             self.table.clear()
         row = self.table.find(hashes)
         new = np.flatnonzero(row < 0)
         if len(new):
-            data = run.data.tobytes()
-            words = [data[s:e] for s, e in zip(run.starts[first[new]].tolist(), run.ends[first[new]].tolist(), strict=True)]
-            ids = [np.frombuffer(self.word(w.decode()), dtype=self.width) for w in words]
-            row[new] = self.table.add(hashes[new], words, ids)
+            data, starts, ends, word = run.data.tobytes(), run.starts[first[new]], run.ends[first[new]], self.word
+            ids = [word(data[s:e].decode()) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+            row[new] = self.table.add(hashes[new], run.data[ragged(starts, ends - starts)[0]], ends - starts, ids)
         row = row[inverse]
         letter, letters, at, n = (b.data[: b.n][row] for b in self.table.borders)
         borders = np.concatenate(([0], np.cumsum(n)))[run.words]
