@@ -96,12 +96,14 @@ def _likelihoods(shared, n_languages: int) -> Callable:
 
 def identify(
     docs: DataFrame, text: Column, doc_id: Column, declared: Column | None = None, host: Column | None = None,
-    suffix: Column | None = None, languages: Sequence[str] = LANGUAGES,
+    suffix: Column | None = None, languages: Sequence[str] = LANGUAGES, addresses: DataFrame | None = None,
 ) -> DataFrame:
     """Rows (doc_id, declared, n_trigrams, lang, posterior, kept), one per row of ``docs``.
 
     ``kept`` is false where no language reaches ``MIN_POSTERIOR``, where the text has no letters (NULL, empty,
     blank, symbols), and where its trigrams are likelier by pure chance than in the language found.
+    ``addresses`` (doc_id, suffix) gives the address suffixes of documents whose addresses lie in another table, instead of
+    ``suffix``; of several the first in the order of text counts. It is joined to rows that hold no text any more.
     Unknown declared languages, and NULL hosts and suffixes, count as missing. Of tied languages the
     first in ``languages`` wins. An empty table gives no rows; repeated rows get equal answers.
     """
@@ -125,6 +127,10 @@ def identify(
     order = ["doc_id", "declared", "suffix", "host", "n", "ll"]
     scored = scratch.written(rows.mapInArrow(_likelihoods(shared, k), T.StructType([schema[n] for n in order])), "likelihoods")
 
+    if addresses is not None:
+        known = addresses.where("doc_id is not null and suffix is not null").groupBy("doc_id").agg(F.min(F.lower("suffix")).alias("suffix"))
+        scored = scratch.written(scored.drop("suffix").join(known, "doc_id", "left").select(order), "addressed")
+
     def best(values: Column) -> Column:
         return F.array_position(values, F.array_max(values)).cast("int")
 

@@ -46,8 +46,10 @@ def op1_hierarchical_mixture(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_evidence_language(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    return identify(docs, F.col("text"), F.col("doc_id"), declared=F.col("lang"), host=F.col("source"))
+    """The source is a document's host; its address is that of the page that shows it, if there is one."""
+    shown = shown_documents(table(spark, sf, "pages")).select("doc_id", F.regexp_extract(urlrules.host_of(F.col("url")), "[^.]+$", 0).alias("suffix"))
+    docs, addresses = table(spark, sf, "documents"), shown.where("suffix != ''")
+    return identify(docs, F.col("text"), F.col("doc_id"), declared=F.col("lang"), host=F.col("source"), addresses=addresses)
 
 
 def op3_divergence_quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,12 +64,15 @@ def op4_framed_token_records(spark: SparkSession, sf: str) -> DataFrame:
     return records.token_starts(records.read_records(index), scratch)
 
 
+def shown_documents(pages: DataFrame) -> DataFrame:
+    """(url, doc_id): a page's path ends in the id of the document it shows."""
+    return pages.select("url", F.expr(r"try_cast(regexp_extract(url, '://[^/?#]*/[^/?#]*/([0-9]+)', 1) AS BIGINT)").alias("doc_id"))
+
+
 def labelled_urls(spark: SparkSession, sf: str) -> DataFrame:
-    """(url, bad): a page's path ends in the id of the document it shows, and that may have a label."""
+    """(url, bad): a page's document may have a label."""
     labels = table(spark, sf, "labels").groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    shown = F.expr(r"try_cast(regexp_extract(url, '://[^/?#]*/[^/?#]*/([0-9]+)', 1) AS BIGINT)")
-    pages = table(spark, sf, "pages").select("url", shown.alias("doc_id"))
-    return pages.join(labels, "doc_id").select("url", "bad")
+    return shown_documents(table(spark, sf, "pages")).join(labels, "doc_id").select("url", "bad")
 
 
 def op5_association_urls(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,6 +152,19 @@ FROM sizes s LEFT JOIN best ON v = s.doc_id
 """
 
 
+# a 40-digit hexadecimal digest is eight groups of 20 bits, four letters each
+SQL["op8_chunked_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+digests AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS hex FROM payloads),
+firsts AS (SELECT hex, min(page_id) AS first FROM digests GROUP BY 1)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform(range(4), lambda k:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 5 * i + 1, 5))::BIGINT >> (15 - 5 * k)) & 31)::BIGINT, 1)), '')), '')
+        AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests JOIN firsts USING (hex)
+"""
+
+
 SQL["op10_winnowed_leaks"] = f"""
 WITH docs AS (SELECT doc_id, {ALNUM.format(LOWERED.format('text'))} AS w FROM documents),
 items AS (SELECT item_id, {ALNUM.format(LOWERED.format('text'))} AS w FROM benchmark),

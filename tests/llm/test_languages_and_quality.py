@@ -228,3 +228,19 @@ def test_no_rows_and_no_trusted_rows(spark):
     found = perplexity.score(frame(spark, corpus(5)), none).collect()
     assert all(r.kept and r.threshold is None for r in found)
     assert quality.judge(frame(spark, [])).count() == 0
+
+
+def test_addresses_of_another_table_are_suffixes(spark):
+    """As if the suffix were a column: NULL, missing and repeated addresses, and one that decides a text without much."""
+    rows = [(i, t, lang, src, ["fr", "de", "com", None][i % 4] if lang != "fr" else "fr") for i, t, lang, src in corpus(200)]
+    rows += [(999, "zzzz", None, None, "fr"), (998, "zzzz", None, None, None), (997, None, "en", None, "fr"), (5, rows[5][1], rows[5][2], rows[5][3], rows[5][4])]
+    base = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, host STRING, suffix STRING")
+    evidence = {"declared": F.col("lang"), "host": F.col("host")}
+    plain = langid.identify(base, F.col("text"), F.col("doc_id"), suffix=F.col("suffix"), **evidence)
+    known = base.select("doc_id", F.upper("suffix").alias("suffix")).union(spark.createDataFrame([(999, "xx"), (12345, "de"), (None, "de"), (1, None)], "doc_id LONG, suffix STRING"))
+    found = langid.identify(base.drop("suffix"), F.col("text"), F.col("doc_id"), addresses=known, **evidence)
+    order = lambda df: sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
+    assert order(found) == order(plain)
+    told = {r.doc_id: r for r in found.collect()}
+    without = {r.doc_id: r for r in langid.identify(base, F.col("text"), F.col("doc_id"), **evidence).collect()}
+    assert told[999].lang == "fr" and told[999].posterior > without[999].posterior

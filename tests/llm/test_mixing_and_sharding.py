@@ -136,3 +136,51 @@ def test_large_draws_have_the_right_spread(scale):
     found = np.array([sharding.hypergeometric(rng, good, bad, drawn) for _ in range(2000)], dtype=float)
     spread = (drawn * 0.3 * 0.7 * (1000 * scale - drawn) / (1000 * scale - 1)) ** 0.5
     assert abs(found.mean() - 0.3 * drawn) < 0.1 * spread and 0.9 < found.std() / spread < 1.1
+
+
+def test_epochs_take_the_documents_that_their_seeded_order_says(spark):
+    """A replay: whole epochs, then the prefix of the next one in the order of its hashes, cut inside a document."""
+    from hashlib import md5
+
+    rows, frame = documents(spark)
+    frame = frame.where("doc_id != 7")
+    levels = {"source": F.col("source"), "lang": F.col("lang")}
+    for budget, seed in ((900, 1), (5000, 1), (5000, 2), (12_345, 3)):
+        found = Mixture(frame, levels, {("big",): 1, ("s0",): 9}, F.lit(budget), max_epochs=3, seed=seed).assign(frame).collect()
+        leaves, cut = defaultdict(list), 0
+        for r in found:
+            leaves[r.mix_source, r.mix_lang].append(r)
+        for own in leaves.values():
+            tokens, alloc = sum(r.n_tokens for r in own), own[0].leaf_budget
+            epochs, left = divmod(alloc, tokens) if tokens else (0, 0)
+            for r in sorted(own, key=lambda r: md5(f"{seed}:{epochs + 1}:{r.doc.doc_id}".encode()).hexdigest()):
+                part = min(r.n_tokens, left)
+                left -= part
+                assert (r.copies, r.partial_tokens) == (epochs + (part > 0), part if part < r.n_tokens else 0)
+                cut += 0 < part < r.n_tokens
+        assert cut > 2
+
+
+def chi_square(pairs, rows, columns):
+    """Of a table of independent uniform numbers: about its degrees of freedom."""
+    n = Counter(pairs)
+    expected = sum(n.values()) / (rows * columns)
+    return sum((n[i, j] - expected) ** 2 / expected for i in range(rows) for j in range(columns))
+
+
+@pytest.mark.parametrize(("blocks", "buckets"), [(1024, 4096), (7, 5), (1, 1)])
+def test_rows_land_uniformly(spark, blocks, buckets):
+    """Neither the shard nor the place in it tells where a row stood, nor does its neighbour's."""
+    n = 8000
+    frame = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "same").alias("text"))
+    found = {r.doc_id: (r.shard, r.slot) for r in sharding.shard_rows(frame, blocks=blocks, buckets=buckets).collect()}
+    group, tenth = lambda i: i * 16 // n, lambda slot: slot * 10 // (n // 8)
+    tables = [
+        chi_square([(group(i), s) for i, (s, _) in found.items()], 16, 8),
+        chi_square([(group(i), tenth(x)) for i, (_, x) in found.items()], 16, 10),
+        chi_square([(s, found[i + 1][0]) for i, (s, _) in found.items() if i + 1 in found], 8, 8),
+        chi_square([(tenth(x), tenth(found[i + 1][1])) for i, (_, x) in found.items() if i + 1 in found], 10, 10),
+        chi_square([(i % 3, s) for i, (s, _) in found.items() if i < n // 3 * 3], 3, 8),
+    ]
+    freedom = [15 * 7, 15 * 9, 63, 99, 14]
+    assert all(abs(x - f) < 4.5 * (2 * f) ** 0.5 for x, f in zip(tables, freedom))

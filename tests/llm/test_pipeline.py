@@ -75,9 +75,11 @@ def test_sql_twins(spark, tmp_path, name):
     rng = random.Random(7)
     vectors = [(n, n % 10, [rng.uniform(-1, 1) if n % 5 else 0.25 for _ in range(8)]) for n in range(300)] + [(300, 1, None), (301, None, [1.0])]
     spark.createDataFrame(vectors, "vec_id LONG, label INT, embedding ARRAY<FLOAT>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    pages = [(n, f"http://h/{n}", [None, "", f"<b>{n % 9}</b>", "é" * n][n % 4]) for n in range(60)]
+    spark.createDataFrame(pages, "page_id LONG, url STRING, html STRING").write.parquet(str(tmp_path / "pages.parquet"))
     found = queries.queries()[name](spark, str(tmp_path)).toPandas()
     with duckdb.connect() as con:
-        for t in ("documents", "benchmark", "embeddings"):
+        for t in ("documents", "benchmark", "embeddings", "pages"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
         expected = con.execute(queries.oracle_sql()[name]).df()
     columns = sorted(found.columns)
