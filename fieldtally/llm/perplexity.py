@@ -311,10 +311,11 @@ def score_words(
 
         given, folders, levels = rows.select("text", "lang", "block", "th"), {}, {}
         for order in word_model.ORDERS:
-            asked = given.mapInArrow(word_model.ask(order, languages, shards, trusted_folder, dict(folders)), word_model.REQUEST)
-            answers = asked.groupBy("shard").applyInArrow(word_model.answer(order), word_model.ANSWER)
             folder = scratch.folder(f"answers-{order}")
-            answers.repartition("block").write.partitionBy("block").parquet(folder)
+            for part in range(word_model.PARTS[order]):
+                asked = given.mapInArrow(word_model.ask(order, languages, shards, trusted_folder, dict(folders), part), word_model.REQUEST)
+                answers = asked.groupBy("shard").applyInArrow(word_model.answer(order), word_model.ANSWER)
+                answers.repartition("block").write.mode("append").partitionBy("block").parquet(folder)
             folders = {order: folder}  # each pass needs what the one before was answered
             levels[order] = folder
         models = {k: {} for k in range(len(languages))}

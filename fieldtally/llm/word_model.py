@@ -6,7 +6,7 @@ a shard joins the pieces of one range from all chunks, sums what the trained tex
 the sums for its n-grams. Answers carry no keys: the next pass lists the same n-grams again and reads the answers beside them. So an n-gram
 costs some five bytes in the shuffle (sorted keys, low bytes and packed steps of the rest) and a fraction of a byte on disk.
 
-There is one pass per order, from the longest to words. With its answer for an n-gram a chunk learns the count and whether it is the first
+There is one pass per order, from the longest to words (for the longer ones one per part of the shards). With its answer for an n-gram a chunk learns the count and whether it is the first
 chunk to have it trained; that one chunk passes the n-gram on to the next shorter order: it adds one to the distinct words to the left of its last words, and
 its count to the totals of its context. A last pass has the sums of all orders for its texts and adds up their log probabilities.
 
@@ -24,11 +24,12 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 
 from fieldtally.llm import shared_files
-from fieldtally.llm.words import SPACED, mixed, quick_hashes, runs, texts_of
+from fieldtally.llm.words import SPACED, distinct, mixed, quick_hashes, runs, texts_of
 
 CHUNK_BYTES = 8 << 20
 SHARD_BYTES = 16 << 20
 ORDERS = (3, 2, 1)
+PARTS = {3: 2, 2: 2, 1: 1}  #: shares of the shards that are asked one after the other, so that less lies in the shuffle at a time
 COLUMNS = {3: 1, 2: 5, 1: 5}  #: numbers that a chunk contributes, and is answered, for each n-gram of an order
 KEY_BITS = 56  #: two of ten thousand million n-grams are taken for one about seven hundred times, and a text's n-gram for another once in seven million
 LOW_BYTES = 4
@@ -109,16 +110,6 @@ def unpacked_keys(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8") + (high << np.uint64(8 * LOW_BYTES))
 
 
-def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys, ascending, a place of each, and where each key is among them."""
-    order = np.argsort(keys)
-    ascending = keys[order]
-    new = np.append(True, ascending[1:] != ascending[:-1])[: len(keys)]
-    at = np.empty(len(keys), dtype=np.int64)
-    at[order] = np.cumsum(new) - 1
-    return ascending[new], order[new], at
-
-
 @dataclass
 class Chunk:
     """Some consecutive rows of a block."""
@@ -168,10 +159,9 @@ class Grams:
         pair = mixed(before * _STEP + word)
         self.start_pair = mixed(self.start * _STEP + self.start)
         before_pair = self._shifted(pair, place, self.start_pair)
-        # of each order: the n-gram that ends at each word, and its context
+        # of each order: the n-gram that ends at each word; its context is the shorter one that ends at the word before
         self.key = {n: key >> _DROPPED for n, key in ((1, word), (2, pair), (3, mixed(before_pair * _STEP + word)))}
-        self.context = {2: before >> _DROPPED, 3: before_pair >> _DROPPED}
-        self._known = {}
+        self.first_words, self._known = place == 0, {}
 
     @staticmethod
     def _shifted(keys: np.ndarray, place: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -189,6 +179,14 @@ class Grams:
             self._known[order] = keys, at[: len(own)], np.where(first < len(own), first, 0)
         return self._known[order]
 
+    def contexts(self, order: int) -> np.ndarray:
+        """Where each word's context is among the distinct n-grams of the next shorter order."""
+        keys, at, _ = self.keys(order - 1)
+        start = {2: self.start, 3: self.start_pair}[order] >> _DROPPED
+        out = np.concatenate((np.searchsorted(keys, start), at[:-1]))[: len(at)]
+        out[self.first_words] = out[:1]
+        return out
+
     def occurrences(self) -> list[np.ndarray]:
         """How often the trained texts have each n-gram of the longest order."""
         keys, at, _ = self.keys(ORDERS[0])
@@ -201,8 +199,7 @@ class Grams:
         count, own = found[0] >> 1, found[0] & 1 == 1
         shorter, _, _ = self.keys(order - 1)
         count, first = count[own], first[own]
-        left = np.searchsorted(shorter, self.key[order - 1][first])
-        context = np.searchsorted(shorter, self.context[order][first])
+        left, context = self.keys(order - 1)[1][first], self.contexts(order)[first]
         n = len(shorter)
         tally = lambda at, weights=None: np.bincount(at, weights=weights, minlength=n).astype(np.int64)
         classes = [tally(context[count == 1]), tally(context[count == 2]), tally(context[count > 2])]
@@ -217,7 +214,7 @@ class Grams:
         for order in (2, 3):
             level, first = model[order], self.keys(order)[2]
             at_shorter = self.keys(order - 1)[1][first]  # of each n-gram: its last words
-            context = np.searchsorted(self.keys(order - 1)[0], self.context[order][first])
+            context = self.contexts(order)[first]
             total, classes = found[order - 1][1][context], [x[context] for x in found[order - 1][2:]]
             lower, taken = p[at_shorter], sum(d * x for d, x in zip(level.discounts, classes, strict=True))
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -322,8 +319,8 @@ class Trusted:
         return np.isin(chunk.rows.column("th").to_numpy(), self.hashes)
 
 
-def ask(order: int, languages: Sequence[str], shards: int, trusted_folder: str, folders: dict[int, str]) -> Callable:
-    """A pass over the texts: pieces of each chunk's n-grams of one order, with what they contribute."""
+def ask(order: int, languages: Sequence[str], shards: int, trusted_folder: str, folders: dict[int, str], part: int = 0) -> Callable:
+    """A pass over the texts: pieces of each chunk's n-grams of one order, with what they contribute, for one part of the shards."""
 
     def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trusted, answers = Trusted(trusted_folder), Answers(folders, shards)
@@ -335,7 +332,8 @@ def ask(order: int, languages: Sequence[str], shards: int, trusted_folder: str,
                     sums = grams.passed_on(order + 1, answers.of(chunk, lang, order + 1, grams.keys(order + 1)[0]))
                 keys, rows = grams.keys(order)[0], []
                 for shard, piece in pieces(keys, lang, shards):
-                    rows.append((shard, chunk.block, chunk.number, packed_keys(keys[piece]), packed_columns([s[piece] for s in sums])))
+                    if shard % PARTS[order] == part:
+                        rows.append((shard, chunk.block, chunk.number, packed_keys(keys[piece]), packed_columns([s[piece] for s in sums])))
                 kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
                 columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else None
                 if columns:
