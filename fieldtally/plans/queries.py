@@ -29,10 +29,10 @@ from fieldtally.streaming import (
     closed_avg_step,
     closed_zone_exits,
     finish_positions,
-    finish_stream,
     live_running_best,
     read_best,
     results,
+    run_to_the_end,
     stream_avg_step,
     stream_zone_exits,
     track_best,
@@ -212,25 +212,25 @@ def running_best(spark: SparkSession, sf: str, since: str | None = None) -> Data
     return best.select(*bounds, F.round("best_avg", 6).alias("best_avg"))
 
 
-def finished(spark: SparkSession, sf: str, question: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``question`` asked of the events as a stream."""
+def event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream of positions."""
     events = table(spark, sf, "events")
     # a pattern, because a stream takes a folder or a pattern but not the path of one file
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf}/event[s].parquet")
-    return finish_stream(roles.as_positions(stream), question)
+    return roles.as_positions(spark.readStream.schema(events.schema).parquet(f"{sf}/event[s].parquet"))
 
 
 def streamed_zone_exits(spark: SparkSession, sf: str) -> DataFrame:
-    total = finished(
-        spark, sf, lambda rows: stream_zone_exits(rows, ZONES, DAY, ROLLUP, entities=BALLS, slice_width=STATE_SLICE)
-    )
-    return total.select(*ntz("window_start", "window_end"), "zone", "exits")
+    folder = new_run_dir(spark, "exits")
+    options = {"entities": BALLS, "checkpoint": f"{folder}/progress"}
+    run_to_the_end(event_stream(spark, sf), lambda rows: closed_zone_exits(rows, ZONES, f"{folder}/tables", DAY, ROLLUP, **options))
+    return results(spark, f"{folder}/tables", "exits", EXITS).select(*ntz("window_start", "window_end"), "zone", "exits")
 
 
 def streamed_avg_step(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_windows(
-        finished(spark, sf, lambda rows: stream_avg_step(rows, SPAN, DAY, entities=[PLAYER], slice_width=STATE_SLICE))
-    )
+    folder = new_run_dir(spark, "steps")
+    options = {"entities": [PLAYER], "checkpoint": f"{folder}/progress"}
+    run_to_the_end(event_stream(spark, sf), lambda rows: closed_avg_step(rows, f"{folder}/tables", SPAN, DAY, **options))
+    return rounded_windows(results(spark, f"{folder}/tables", "steps", STEPS))
 
 
 def position_rows(spark: SparkSession, sf: str) -> DataFrame:

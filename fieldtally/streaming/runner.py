@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from fieldtally.sinks import write_stream
 from fieldtally.sources.delimited import POSITIONS_SCHEMA
@@ -35,6 +36,25 @@ def finish_positions(spark: SparkSession, path: str) -> None:
     spark.range(1).select(*columns).coalesce(1).write.mode("append").csv(path)
 
 
+def marked_stream(positions: DataFrame, folder: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``positions`` with a second source below ``folder`` that is empty yet, and a function that puts the end marker there."""
+    spark, markers = positions.sparkSession, f"{folder}/marker"
+    _marker(spark, positions.schema, present=False).write.parquet(markers)
+    marked = positions.unionByName(spark.readStream.schema(positions.schema).parquet(markers))
+    return marked, lambda: _marker(spark, positions.schema, present=True).write.mode("append").parquet(markers)
+
+
+def run_to_the_end(positions: DataFrame, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Runs the query that ``start`` starts over everything ``positions`` has now, then over the end marker alone.
+
+    Both runs must go on from one checkpoint, and may be interrupted and repeated.
+    """
+    marked, end = marked_stream(positions, new_run_dir(positions.sparkSession, "stream"))
+    start(marked).awaitTermination()
+    end()
+    start(marked).awaitTermination()
+
+
 def finish_stream(
     positions: DataFrame,
     question: Callable[[DataFrame], DataFrame],
@@ -53,11 +73,9 @@ def finish_stream(
     folder = new_run_dir(spark, "stream")
     path = path or f"{folder}/result"
     checkpoint = checkpoint or f"{folder}/progress"
-    markers = f"{folder}/marker"
-    _marker(spark, positions.schema, present=False).write.parquet(markers)
-    marked = positions.unionByName(spark.readStream.schema(positions.schema).parquet(markers))
+    marked, end = marked_stream(positions, folder)
     result = question(marked)
     write_stream(result, path, checkpoint).awaitTermination()
-    _marker(spark, positions.schema, present=True).write.mode("append").parquet(markers)
+    end()
     write_stream(result, path, checkpoint).awaitTermination()
     return (reader or spark).read.schema(result.schema).parquet(path)
