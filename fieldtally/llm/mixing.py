@@ -79,7 +79,13 @@ def leaf_budgets(
 
 
 class Mixture:
-    """The plan of one mixing: leaves with their budgets and cuts, ready to be joined to documents."""
+    """The plan of one mixing: leaves with their budgets and cuts, ready to be joined to documents.
+
+    NULL levels are empty strings, which are nodes like others; NULL, empty and blank texts hold no tokens, and are in whole epochs only. Rows with
+    equal ids have equal places in an epoch, the shorter text first, and share what any of them gets; a repeated row is as often in a mixture as it
+    occurs times its copies. NULL ids are one id. A leaf without tokens, or without weight, gets nothing. An empty table gives no leaves. Columns of the input keep
+    their names, whatever they are.
+    """
 
     def __init__(
         self, docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[tuple, int], budget: Column | None = None,
