@@ -77,11 +77,13 @@ def test_sql_twins(spark, tmp_path, name):
     spark.createDataFrame(vectors, "vec_id LONG, label INT, embedding ARRAY<FLOAT>").write.parquet(str(tmp_path / "embeddings.parquet"))
     pages = [(n, f"http://h/{n}", [None, "", f"<b>{n % 9}</b>", "é" * n][n % 4]) for n in range(60)]
     spark.createDataFrame(pages, "page_id LONG, url STRING, html STRING").write.parquet(str(tmp_path / "pages.parquet"))
-    found = queries.queries()[name](spark, str(tmp_path)).toPandas()
+    found = queries.queries()[name](spark, str(tmp_path))
     with duckdb.connect() as con:
         for t in ("documents", "benchmark", "embeddings", "pages"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
-        expected = con.execute(queries.oracle_sql()[name]).df()
+        answer = con.execute(queries.oracle_sql()[name])
+        names, expected = [d[0] for d in answer.description], answer.fetchall()
     columns = sorted(found.columns)
-    assert columns == sorted(expected.columns)
-    assert sorted(map(str, found[columns].values.tolist())) == sorted(map(str, expected[columns].values.tolist()))
+    assert columns == sorted(names)
+    expected = [tuple(row[names.index(c)] for c in columns) for row in expected]
+    assert sorted(map(str, (tuple(r) for r in found.select(columns).collect()))) == sorted(map(str, expected)) and expected
