@@ -38,13 +38,13 @@ from fieldtally.streaming import (
     track_best,
 )
 from fieldtally.streaming.tail import BESTS, EXITS, STEPS
-from fieldtally.workspace import in_name_order, new_run_dir
+from fieldtally.workspace import folder_bytes, in_name_order, new_run_dir
 
 DAY, SPAN, ROLLUP = "1 day", "5 days", "10 days"
 BLOCK = "90 days"
 STATE_SLICE = "1 minute"
-FILE_ROWS = 2_500  #: rows of a position file
-TRIGGER_BYTES = 512_000  #: of position files in a micro-batch
+FILE_ROWS, FILES, FULL_FILE_ROWS = 2_500, 40, 2_000_000  #: least rows of a position file, files that larger tables make of larger files, most rows
+TRIGGER_BYTES, TRIGGERS, FULL_TRIGGER_BYTES = 512_000, 12, 1 << 30  #: the same of position files in a micro-batch
 LAG, SLOT, DELAY = "15 days", "5 days", "2 days"
 
 
@@ -245,12 +245,23 @@ def position_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def file_count(rows: int) -> int:
+    """Number of position files. Every file or few files are a micro-batch of a replay, and each costs some seconds whatever it holds, so
+    larger tables make larger files, not more, until a file has ``FULL_FILE_ROWS``."""
+    size = max(FILE_ROWS, min(-(-rows // FILES), FULL_FILE_ROWS))
+    return -(-rows // size) or 1
+
+
+def trigger_bytes(spark: SparkSession, files: str) -> int:
+    """The bound of a micro-batch over a folder of position files: it follows the folder for the same reason."""
+    return max(TRIGGER_BYTES, min(-(-folder_bytes(spark, files) // TRIGGERS), FULL_TRIGGER_BYTES))
+
+
 def position_files(spark: SparkSession, sf: str) -> str:
-    """The events as position files, each a range of time, in the order of time; more rows make more files."""
+    """The events as position files, each a range of time, in the order of time; more rows make more files, then larger ones."""
     path = f"{new_run_dir(spark, 'position-files')}/positions"
     rows = position_rows(spark, sf).drop("event_id")
-    files = -(-rows.count() // FILE_ROWS) or 1
-    ordered = rows.repartitionByRange(files, "us", "picos").sortWithinPartitions("us", "picos")
+    ordered = rows.repartitionByRange(file_count(rows.count()), "us", "picos").sortWithinPartitions("us", "picos")
     write_table(ordered.drop("us"), path, sep=",")
     in_name_order(spark, path)
     return path
@@ -312,7 +323,7 @@ def live_best(spark: SparkSession, sf: str) -> DataFrame:
 def live_bests(spark: SparkSession, sf: str) -> DataFrame:
     """For every window from a time on the best so far, while position files arrive."""
     files, folder = position_files(spark, sf), new_run_dir(spark, "bests")
-    stream = moving(stream_positions(spark, files, max_bytes_per_trigger=TRIGGER_BYTES))
+    stream = moving(stream_positions(spark, files, max_bytes_per_trigger=trigger_bytes(spark, files)))
     since = F.lit("2024-01-15").cast("timestamp")
     options = {"entities": [len(BALLS) + 1], "checkpoint": f"{folder}/progress"}
     to_the_end(spark, files, lambda: live_running_best(stream, f"{folder}/tables", SPAN, DAY, since, BLOCK, **options))

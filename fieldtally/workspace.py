@@ -79,6 +79,12 @@ def in_name_order(spark: SparkSession, path: str) -> int:
     return len(names)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    files, target = _files(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def sized_session(spark: SparkSession, partitions: int, **changes: str) -> SparkSession:
     """A session on the same cluster and catalog, with the settings of ``spark`` except for
     its number of shuffle partitions and the other ``changes`` (dots written as ``__``). Loops
