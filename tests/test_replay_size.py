@@ -48,3 +48,26 @@ def check_replay(spark, tmp_path, started, query, expected):
 
 def test_live_running_best(spark, tmp_path, small_batches):
     check_replay(spark, tmp_path, small_batches, "q39_live_running_best", "q28_best_since")
+
+
+class Started(Exception):
+    """Ends a query where its stream starts."""
+
+
+def check_bound(spark, tmp_path, started, monkeypatch, query):
+    """What bounds a query's micro-batches, without running them."""
+    begin = plans.stream_positions
+
+    def stopped(*args, **options):
+        begin(*args, **options)
+        raise Started
+
+    monkeypatch.setattr(plans, "stream_positions", stopped)
+    with pytest.raises(Started):
+        plans.queries()[query](spark, events(spark, tmp_path, 1_200))
+    files, size, options = started[0]
+    assert files <= 6 and size <= 2 * options["max_bytes_per_trigger"]
+
+
+def test_closed_avg_step_is_bounded(spark, tmp_path, small_batches, monkeypatch):
+    check_bound(spark, tmp_path, small_batches, monkeypatch, "q43_closed_avg_step")
