@@ -69,6 +69,6 @@ def check_bound(spark, tmp_path, started, monkeypatch, query):
     assert files <= 6 and size <= 2 * options["max_bytes_per_trigger"]
 
 
-@pytest.mark.parametrize("query", ["q37_file_stream_exits_csv", "q43_closed_avg_step"])
+@pytest.mark.parametrize("query", ["q37_file_stream_exits_csv", "q38_live_best_window", "q43_closed_avg_step"])
 def test_micro_batches_are_bounded(spark, tmp_path, small_batches, monkeypatch, query):
     check_bound(spark, tmp_path, small_batches, monkeypatch, query)
