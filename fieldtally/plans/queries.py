@@ -277,8 +277,7 @@ def delayed_files(spark: SparkSession, sf: str) -> str:
     line = F.concat_ws(",", *[F.col(c).cast("string") for c in fields])
     line = F.when(F.col("event_id") % 97 == 5, F.concat(F.lit("DAMAGED "), F.col("event_id").cast("string"))).otherwise(line)
     slot = F.floor(F.col("arrival") / micros(SLOT)).cast("long").alias("slot")
-    files = -(-rows.count() // FILE_ROWS) or 1
-    lines = rows.select(slot, "arrival", line.alias("line")).repartitionByRange(files, "slot", "arrival").sortWithinPartitions("slot", "arrival")
+    lines = rows.select(slot, "arrival", line.alias("line")).repartitionByRange(file_count(rows.count()), "slot", "arrival").sortWithinPartitions("slot", "arrival")
     lines.drop("arrival").write.partitionBy("slot").text(path)
     in_name_order(spark, path)
     return path
