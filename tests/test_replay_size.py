@@ -70,7 +70,7 @@ def check_bound(spark, tmp_path, started, monkeypatch, query, most=6):
     assert options.get("max_files_per_trigger") == 1 or size <= 2 * options["max_bytes_per_trigger"]
 
 
-@pytest.mark.parametrize("query", ["q37_file_stream_exits_csv", "q38_live_best_window", "q43_closed_avg_step"])
+@pytest.mark.parametrize("query", ["q37_file_stream_exits_csv", "q38_live_best_window", "q42_closed_zone_exits", "q43_closed_avg_step"])
 def test_micro_batches_are_bounded(spark, tmp_path, small_batches, monkeypatch, query):
     check_bound(spark, tmp_path, small_batches, monkeypatch, query)
 
