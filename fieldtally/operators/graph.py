@@ -203,15 +203,16 @@ def shortest_paths(
     usable = _usable(edges if directed else both_directions(edges))
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/work'")
     try:
-        _list_hot_sources(usable, f"{folder}/hot", hot_degree)
+        everything = _count_vertices(spark, edges, directed, folder, hot_degree)
         buckets = shuffle_partitions(spark)
         # the layout fixes every partition and join partner of a superstep, so there is nothing
-        # to adapt while it runs, and each level is spared the planning
-        session = sized_session(spark, buckets, spark__sql__adaptive__enabled="false", spark__sql__sources__bucketing__autoBucketedScan__enabled="false")
+        # to adapt while it runs, and each level is spared the planning; a bucket of edges is one sorted file, not sorted again
+        session = sized_session(
+            spark, buckets, spark__sql__adaptive__enabled="false", spark__sql__sources__bucketing__autoBucketedScan__enabled="false",
+            spark__sql__legacy__bucketedTableScan__outputOrdering="true",
+        )
         work = _Search(session, folder, database, buckets)
         salted = _store_edges(work, usable)
-        vertices(edges).write.parquet(f"{folder}/vertices")
-        everything = spark.read.schema("id LONG").parquet(f"{folder}/vertices")
         depth, complete, segments = _search(work, everything, source, max_hops, salted)
         if depth < 0:
             reached = spark.createDataFrame([], PATHS_SCHEMA)
@@ -229,29 +230,49 @@ def _usable(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
 
 
+def _count_vertices(spark: SparkSession, edges: DataFrame, directed: bool, folder: str, hot_degree: int) -> DataFrame:
+    """Writes all vertices with the numbers of their usable edges, and from these the sources to salt, in one pass over the edges. Returns the vertices."""
+    usable = F.coalesce(F.col("src") != F.col("dst"), F.lit(False)).cast("long")
+    incoming = F.lit(0).cast("long") if directed else usable
+    ends = F.array(F.struct(F.col("src").alias("id"), usable.alias("n")), F.struct(F.col("dst").alias("id"), incoming.alias("n")))
+    counted = edges.select(F.inline(ends)).where(F.col("id").isNotNull()).groupBy("id").agg(F.sum("n").alias("degree"))
+    counted.write.parquet(f"{folder}/vertices")
+    degrees = spark.read.schema("id LONG, degree LONG").parquet(f"{folder}/vertices")
+    _write_hot(degrees.select(F.col("id").alias("src"), "degree"), f"{folder}/hot", hot_degree)
+    return spark.read.schema("id LONG").parquet(f"{folder}/vertices")
+
+
 def _list_hot_sources(edges: DataFrame, path: str, hot_degree: int) -> None:
     """Writes the sources to salt with their numbers of salts."""
+    _write_hot(edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree")), path, hot_degree)
+
+
+def _write_hot(degrees: DataFrame, path: str, hot_degree: int) -> None:
     (
-        edges.groupBy("src")
-        .agg(F.count(F.lit(1)).alias("degree"))
-        .where(F.col("degree") > hot_degree)
+        degrees.where(F.col("degree") > hot_degree)
         .select(F.col("src").alias("hot_src"), F.ceil(F.col("degree") / hot_degree).alias("salts"))
         .write.parquet(path)
     )
 
 
 def _store_edges(work: _Search, edges: DataFrame) -> bool:
-    """Writes the bucketed edge table; returns whether some of its sources are salted."""
-    edges = edges.distinct()
+    """Writes the bucketed edge table; returns whether some of its sources are salted.
+
+    Where no source has many rows, repeated ones included, rows are de-duplicated in their buckets: one shuffle. Otherwise a source or a single
+    edge may have more rows than a task should get, and they are de-duplicated before they are dealt.
+    """
     listed = edges.sparkSession.read.schema(HOT_SCHEMA).parquet(f"{work.folder}/hot")
     salted = not listed.isEmpty()
     keys = ["src", "salt"] if salted else ["src"]
     if salted:
+        edges = edges.distinct()
         hot = listed.withColumn("salts", F.least("salts", F.lit(work.buckets)).cast("int"))
         hot.write.saveAsTable(work.hot)
         salt = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")
         edges = edges.join(hot, F.col("src") == F.col("hot_src"), "left").select("src", "dst", salt)
-    edges.repartition(work.buckets, *keys).write.bucketBy(work.buckets, *keys).sortBy(*keys).saveAsTable(work.edges)
+    dealt = edges.repartition(work.buckets, *keys)
+    dealt = dealt if salted else dealt.distinct()
+    dealt.write.bucketBy(work.buckets, *keys).sortBy(*keys).saveAsTable(work.edges)
     return salted
 
 

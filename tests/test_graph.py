@@ -257,3 +257,27 @@ def test_paths_of_every_depth(spark, monkeypatch, hops):
     result = graph.shortest_paths(frame(spark, [(n, n + 1) for n in range(hops)] + [(0, 99)]), 0)
     assert {r.id: r.path for r in result.collect()} == {**{n: list(range(n + 1)) for n in range(hops + 1)}, 99: [0, 99]}
     assert rounds == [math.ceil(math.log2(hops + 1))] and rounds[0] <= math.ceil(math.log2(max(2, hops))) + 1
+
+
+def test_edges_are_dealt_once(spark, monkeypatch):
+    """Without salted sources the edge table is one shuffle of the edges, and no separate pass looks for such sources."""
+    writer, exchanges = type(spark.range(1).write), {}
+    write = writer.saveAsTable
+
+    def spied(self, name, *args, **options):
+        exchanges[name.rsplit(".", 1)[1]] = self._df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+        return write(self, name, *args, **options)
+
+    monkeypatch.setattr(writer, "saveAsTable", spied)
+    monkeypatch.setattr(graph, "_list_hot_sources", None)
+    found = graph.shortest_paths(frame(spark, TOY_EDGES * 3), 17274)
+    assert exchanges["edges"] == 1
+    assert sorted(map(str, found.collect())) == sorted(map(str, graph.shortest_paths(frame(spark, TOY_EDGES), 17274).collect()))
+
+
+@pytest.mark.parametrize("directed", [True, False])
+def test_repeated_edges_loops_and_nulls(spark, directed):
+    """The same rows, whether sources with many rows are salted or not."""
+    rows = [(0, n % 7 + 1) for n in range(60)] + [(3, 3)] * 30 + [(7, 20), (20, 21), (None, 30), (31, None), (32, 32)]
+    found = [sorted(map(str, graph.shortest_paths(frame(spark, rows), 0, directed=directed, hot_degree=d).collect())) for d in (5, 1000)]
+    assert found[0] == found[1] and len(found[0]) == 13
