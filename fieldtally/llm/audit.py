@@ -8,7 +8,7 @@ beyond the level at which its prefix becomes rare, and no term is counted twice.
 
 Each level is one pass over the texts. Tasks know the kept prefixes from a Bloom filter of a fixed number of bits; what it lets
 through by chance has a prefix in too few documents, hence itself too few, and falls at the next count. Counts are summed
-in each Arrow batch, then by Spark on the map side, then by key, so a hot source sends no more than a row per prefix and task.
+in each Arrow batch (in parts of bounded size), then by Spark on the map side, then by key, so a hot source sends no more than a row per prefix and task.
 
 Divergences are whole numbers throughout. The sum over all kept terms for each pair of sources is taken without visiting pairs of
 terms that neither has: from the number of terms that a source lacks, a histogram of its shares, and corrections for terms that both have.
@@ -37,6 +37,7 @@ TOP = 200  #: terms listed for each source
 UNIT = 1_000_000_000
 FILTER_BITS = 23
 PAIRS = 1 << 21  #: pairs of sources that a task holds at once
+HELD = 1 << 18  #: partial counts that a task holds at once, and those of one run more
 _OPEN = np.uint64(0xA24BAED4963EE407)
 _LEVEL = "place long, prefix binary, docs long, n long"
 
@@ -66,7 +67,7 @@ def _level(width: int, before: int, shared) -> Callable:
         bits = np.frombuffer(shared.value, dtype=np.uint64) if shared else None
         for batch in batches:
             langs, sources = (batch.column(c).to_numpy().view(np.uint64) for c in ("lang", "source"))
-            found = []
+            found, held = [], 0
             for run in runs(batch.column("text"), LETTERS):
                 lang, source = (x[run.first : run.first + run.n_texts] for x in (langs, sources))
                 text = run.text_of_word()
@@ -92,6 +93,10 @@ def _level(width: int, before: int, shared) -> Callable:
                 sizes = np.minimum(run.ends[word] - run.starts[word], width)
                 letters = run.data[ragged(run.starts[word], sizes)[0]]
                 found.append((key[first], place[word], whole[word], np.add.reduceat(other_text, first, dtype=np.int64), n, sizes, letters))
+                held += len(first)
+                if held > HELD:
+                    yield _summed(found)
+                    found, held = [], 0
             if found:
                 yield _summed(found)
 
@@ -99,7 +104,7 @@ def _level(width: int, before: int, shared) -> Callable:
 
 
 def _summed(found: list[tuple]) -> pa.RecordBatch:
-    """The counts of a batch's runs, a row per key."""
+    """The counts of some runs, a row per key."""
     key, place, whole, docs, n, sizes, letters = (np.concatenate(x) for x in zip(*found, strict=True))
     _, first, number = np.unique(key, return_index=True, return_inverse=True)
     docs, n = (np.bincount(number, weights=x, minlength=len(first)).astype(np.int64) for x in (docs, n))

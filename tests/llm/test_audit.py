@@ -1,7 +1,10 @@
+import importlib
 import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +96,26 @@ def test_one_very_long_text(spark):
     docs = [(n, long if n < 3 else "ab abab", "en", f"s{n % 2}", None, None) for n in range(5)]
     frame = spark.createDataFrame(docs, SCHEMA)
     assert sorted(tuple(r) for r in audit.source_divergence(frame).collect()) == brute(docs)
+
+
+def test_partial_counts_held_at_once_are_bounded(monkeypatch):
+    """A batch of many runs is counted in parts of bounded size, and the parts add up to the same counts."""
+    words = importlib.import_module("fieldtally.llm.words")
+    texts = [" ".join(f"w{chr(97 + (7 * n + k) % 26)}{chr(97 + k % 26)}" for k in range(40)) for n in range(200)]
+    ids = pa.array(np.ones(len(texts), dtype=np.int64))
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], ["lang", "source", "text"])
+    sizes, summed = [], audit._summed
+    monkeypatch.setattr(audit, "_summed", lambda found: sizes.append(sum(len(f[0]) for f in found)) or summed(found))
+    monkeypatch.setattr(words, "RUN_BYTES", 1_000)
+
+    def counts(held):
+        monkeypatch.setattr(audit, "HELD", held, raising=False)
+        total = Counter()
+        for part in audit._level(6, 0, None)(iter([batch])):
+            for row in part.to_pylist():
+                total[(row["place"], row["prefix"])] += row["n"]
+        return total
+
+    whole = counts(1 << 30)
+    sizes.clear()
+    assert counts(500) == whole and max(sizes) < 1_000 and len(sizes) > 1
